@@ -1,0 +1 @@
+"""Waymark: a catalogue, entity-resolution and geo-analytics engine on PySpark."""
