@@ -31,10 +31,10 @@ def brute(rows):
     return {i: (max(map(len, sets[i])), root(i)) for i in ids}
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 2])
-def test_components_match_brute_force(documents, corpus, rounds):
+@pytest.mark.parametrize("pivots", [(), (1,), (2, 8, 32)])
+def test_components_match_brute_force(documents, corpus, pivots):
     rows = list(enumerate(corpus))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(documents(rows), pivot_rounds=rounds).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(documents(rows), pivots=pivots).collect()}
     assert got == brute(rows)
 
 

@@ -200,15 +200,31 @@ def _epithet(w: Column) -> Column:
     return F.coalesce(lookup(_bare(w), EPITHETS), F.when((w == F.upper(w)) & (w != F.lower(w)), tx.capitalize(w)).otherwise(w))
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _saint(core: Column) -> Column:
+    """'sv. Name Epithet' from the words after the saint's mark, up to a locative."""
+    rest = F.regexp_replace(F.regexp_extract(core, rf"(?iUs){SAINT_MARK}(.*)$", 1), r"^[ .,\-]+|[ .,\-]+$", "")
+    words = F.slice(F.filter(F.split(rest, r"(?U)\s+"), lambda w: w != ""), 1, 4)
+
+    def up_to_place(ws: Column) -> Column:
+        stop = F.array_position(F.transform(ws, lambda w: F.lower(tx.strip_diacritics(w)).isin(*LOCATIVES)), True).cast("int")
+        return F.when(stop == 0, ws).otherwise(F.slice(ws, 1, F.greatest(stop - 1, F.lit(0))))
+
+    def label(ws: Column) -> Column:
+        named = F.concat_ws(" ", F.concat(F.lit("sv. "), _nominative(F.get(ws, F.lit(0)))), F.transform(F.slice(ws, 2, 4), _epithet))
+        return F.when(F.size(ws) > 0, F.trim(F.regexp_replace(named, r"\s+", " ")))
+
+    return _let(_let(words, up_to_place), label)
+
+
 def dedication(name: Column) -> Column:
     """The patron or mystery in a name: a mystery's label, 'sv. Name Epithet' in the nominative, or null."""
     core = tx.empty_to_null(F.trim(F.get(F.split(tx.strip_type_prefix(F.trim(name)), f"(?iU){PLACE_AFTER}", 2), F.lit(0))))
-    rest = F.regexp_replace(F.regexp_extract(core, rf"(?iUs){SAINT_MARK}(.*)$", 1), r"^[ .,\-]+|[ .,\-]+$", "")
-    words = F.slice(F.filter(F.split(rest, r"(?U)\s+"), lambda w: w != ""), 1, 4)
-    stop = F.array_position(F.transform(words, lambda w: F.lower(tx.strip_diacritics(w)).isin(*LOCATIVES)), True).cast("int")
-    kept = F.when(stop == 0, words).otherwise(F.slice(words, 1, F.greatest(stop - 1, F.lit(0))))
-    label = F.concat_ws(" ", F.concat(F.lit("sv. "), _nominative(F.get(kept, F.lit(0)))), F.transform(F.slice(kept, 2, 4), _epithet))
-    return F.coalesce(first_match(core, MYSTERIES), F.when(matches(core, SAINT_MARK) & (F.size(kept) > 0), F.trim(F.regexp_replace(label, r"\s+", " "))))
+    return _let(core, lambda c: F.coalesce(first_match(c, MYSTERIES), F.when(matches(c, SAINT_MARK), _saint(c))))
 
 
 def _key_of(label: Column) -> Column:
@@ -221,5 +237,5 @@ def dedication_key(name: Column) -> Column:
 
 def dedication_head(name: Column) -> Column:
     """The key of the saint alone, without epithets; mysteries whole."""
-    label = dedication(name)
-    return _key_of(F.when(F.startswith(label, F.lit("sv. ")), F.concat(F.lit("sv. "), F.substring_index(F.substring(label, 5, 1 << 20), " ", 1))).otherwise(label))
+    saint = lambda c: F.concat(F.lit("sv. "), F.substring_index(F.substring(c, 5, 1 << 20), " ", 1))
+    return _key_of(_let(dedication(name), lambda c: F.when(F.startswith(c, F.lit("sv. ")), saint(c)).otherwise(c)))

@@ -8,8 +8,9 @@ n - ceil(0.8 n) + 1 of each, so only these prefixes are shuffled, and only shing
 prefixes go on.
 
 Pairs are made in rounds, because a group of near copies would otherwise give all its pairs. In
-each of the first rounds a shingle's documents are compared with one pivot; verified links are
-joined to components; shingles whose documents are all in one component are finished. The last
+the first rounds a shingle's documents are compared with a few of them, more in each round, taken
+from the largest component; verified links join components; pairs inside a component are not made,
+and shingles whose documents are all in one component are finished. The last
 round makes every pair left between different components, in blocks that Spark can split, except
 those verified before; so no link between components is missed.
 
@@ -25,14 +26,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .common import arrow, id_column, persisted
-from .components import components
+from .components import components, merged
 
-WIDTH, PERCENT, SKETCH, RANGES, PIVOT_ROUNDS = 5, 80, 1 << 18, 64, 2
+WIDTH, PERCENT, SKETCH, RANGES = 5, 80, 1 << 18, 64
+#: Documents that the others of a shingle are compared with, by round.
+PIVOTS = (2, 8, 32)
 _SETS = "doc_id long, n long, low long, high long, prefix array<long>, ranges binary"
 _SKETCH = "block int, counts binary"
 _BLOCK = 1 << 14
@@ -131,7 +134,7 @@ def _shared_only(entries: DataFrame) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y, nx, ny, rx, ry) that pass the suffix filter."""
+    """Pairs (x, y, nx, ny, rx, ry, cx, cy) that pass the suffix filter; ids with several texts pass as they are."""
 
     def run(batches):
         for batch in batches:
@@ -139,9 +142,10 @@ def _likely(pairs: DataFrame, percent: int) -> DataFrame:
                 nx, ny = batch.column(2).to_numpy(), batch.column(3).to_numpy()
                 rx, ry = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int64) for k in (4, 5))
                 keep = np.abs(rx - ry).sum(1) <= nx + ny - 2 * needed(nx, ny, percent)
+                keep |= (batch.column(6).to_numpy() > 1) | (batch.column(7).to_numpy() > 1)
                 yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return pairs.select("x", "y", "nx", "ny", "rx", "ry").mapInArrow(run, "x long, y long")
+    return pairs.select("x", "y", "nx", "ny", "rx", "ry", "cx", "cy").mapInArrow(run, "x long, y long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -169,7 +173,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return rows.mapInArrow(run, schema)
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, pivots: tuple[int, ...] = PIVOTS) -> DataFrame:
     """One row per id: doc_id, n_shingles, component_id."""
     own = _own(docs, id_col, text_col)
     sets = persisted(set_rows(own, shingle_counts(own, width), width, percent), "sets")
@@ -186,34 +190,38 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = own.join(ranges.select("d").distinct(), own.doc_id == F.col("d"), "left_semi").select(F.col("doc_id").alias("d"), "text")
     texts = persisted(found, "texts")
     links, tried, labels = equal, None, None
-    for turn in range(pivot_rounds + 1):
-        here = active if labels is None else active.join(labels.withColumnRenamed("node", "d"), "d", "left")
-        here = here.withColumn("label", F.coalesce("label", "d") if labels is not None else F.col("d"))
-        size = F.lit(1) if labels is None else F.coalesce("members", F.lit(1))
-        # a shingle's pivot: a document of the largest component, another one in each round
-        choice = F.struct((-size).alias("size"), F.xxhash64(F.lit(turn), "label").alias("rank"), F.xxhash64(F.lit(turn), "d").alias("r"), "d", "label", "pos", "n")
-        heads = here.groupBy("h").agg(F.min(choice).alias("p"), (F.min("label") < F.max("label")).alias("mixed")).where("mixed")
-        other = here.join(heads.select("h", F.col("p.label").alias("pl"), F.col("p.d").alias("pd"), F.col("p.pos").alias("pp"), F.col("p.n").alias("pn")), "h").where("label <> pl")
-        if turn < pivot_rounds:
-            pairs = other.select(F.col("d").alias("x"), F.col("pd").alias("y"), F.col("pos").alias("px"), F.col("pp").alias("py"), F.col("n").alias("nx"), F.col("pn").alias("ny"))
+    for turn, few in enumerate((*pivots, 0)):
+        here = active.withColumn("label", F.col("d")).withColumn("members", F.lit(1).cast("long"))
+        if labels is not None:
+            here = active.join(labels.withColumnRenamed("node", "d"), "d", "left").select(*active.columns, F.coalesce("label", "d").alias("label"), F.coalesce("members", F.lit(1)).alias("members"))
+        # the larger components' documents lead a shingle's list, in another order each round
+        order = Window.partitionBy("h").orderBy(F.col("members").desc(), F.xxhash64(F.lit(turn), "label"), "label", F.xxhash64(F.lit(turn), "d"), "d")
+        heads = here.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= max(few, 1)).select("h", *(F.col(c).alias(f"p_{c}") for c in ("d", "pos", "n", "label")))
+        a, b = here.alias("a"), heads.alias("b")
+        if few:
+            near = (F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("p_label"))
+            x, y = [F.col(f"a.{c}") for c in ("d", "pos", "n")], [F.col(f"p_{c}") for c in ("d", "pos", "n")]
         else:
-            a, b = other.select("h", "d", "pos", "n", "label").alias("a"), here.join(heads.select("h", F.col("p.label").alias("pl")), "h").alias("b")
+            # of each shingle's documents those outside its leading component, with all others
+            a = here.join(heads.select("h", F.col("p_label").alias("pl")), "h").where("label <> pl").alias("a")
+            b = here.alias("b")
             near = (F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("b.label")) & ((F.col("b.label") == F.col("pl")) | (F.col("a.d") < F.col("b.d")))
-            fits = (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent) & _placed(F.col("a.pos"), F.col("b.pos"), F.col("a.n"), F.col("b.n"), percent)
-            pairs = a.join(b, near & fits).select(F.col("a.d").alias("x"), F.col("b.d").alias("y"), F.col("a.pos").alias("px"), F.col("b.pos").alias("py"), F.col("a.n").alias("nx"), F.col("b.n").alias("ny"))
-        fits = (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent) & _placed(F.col("px"), F.col("py"), F.col("nx"), F.col("ny"), percent)
-        pairs = pairs.where(fits).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+            x, y = [F.col(f"a.{c}") for c in ("d", "pos", "n")], [F.col(f"b.{c}") for c in ("d", "pos", "n")]
+        fits = (F.least(x[2], y[2]) * 100 >= F.greatest(x[2], y[2]) * percent) & _placed(x[1], y[1], x[2], y[2], percent)
+        pairs = a.join(b, near & fits).select(F.least(x[0], y[0]).alias("x"), F.greatest(x[0], y[0]).alias("y")).distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti")
         side = lambda k: ranges.groupBy("d").agg(F.max("n").alias(f"n{k}"), F.max_by("ranges", "n").alias(f"r{k}"), F.count("*").alias(f"c{k}")).withColumnRenamed("d", k)
         wide = pairs.join(side("x"), "x").join(side("y"), "y")
-        single = wide.where("cx = 1 and cy = 1")
-        pairs = persisted(_likely(single, percent).unionByName(wide.where("cx > 1 or cy > 1").select("x", "y")), "pairs")
+        pairs = persisted(_likely(wide, percent), "pairs")
         checked = persisted(_verified(pairs, texts, width, percent), "checked")
         tried = checked if tried is None else tried.unionByName(checked)
         links = links.unionByName(checked.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        found = components(links)
-        labels = persisted(found.join(found.groupBy("label").agg(F.count("*").alias("members")), "label"), "labels") if turn < pivot_rounds else found
+        if few:
+            found = merged(links)
+            labels = persisted(found.join(found.groupBy("label").agg(F.count("*").alias("members")), "label"), "labels")
+        else:
+            labels = components(links)
     rows = sets.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
     return rows.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 

@@ -1,19 +1,18 @@
 """Exact repeats of LENGTH bytes by difference-cover suffix sorting, one block of suffix buckets at a time.
 
 1. Anchors. In every string of LENGTH bytes the GRAM-gram with the least hash (the leftmost of
-   equals) is its anchor, so equal strings have equal anchors at the same place. Only anchors
-   found twice in the corpus can belong to repeats; counting them moves a few bytes for about
-   every thirtieth byte of text.
-2. Buckets. Strings with one anchor are consecutive, so an anchor carries the bytes they cover,
-   some 140. All suffixes with one anchor meet in one bucket; equal ones within a task are merged
-   before the shuffle, so copies cost one context a task.
+   equals) is its anchor, so equal strings have equal anchors at the same place. Strings with one
+   anchor are consecutive; the bytes under them are the anchor's context, some 130. A row of an
+   anchor carries the hashes of the gram and of the context, not the bytes.
+2. Buckets. Rows meet by their anchor, sorted, as a stream. A context that occurred before (by its
+   64-bit hash) marks all its strings. An anchor with different contexts is a suffix bucket to be
+   sorted: only for those, and once for each different context, are bytes fetched from the texts.
 3. Sorting. A task takes whole buckets until BLOCK bytes are held and sorts the suffixes in them:
    by their first and last bytes, and, where these tie, by the ranks of a difference cover's
    samples. The cover D modulo V has for any two positions i, j a shift d < V such that i + d and
    j + d are both samples; ranks of DEPTH bytes at samples are computed once a block, so a tie of
    any length is one comparison of two numbers, and memory is bounded by the block.
-   A bucket with more contexts than a block holds is sorted in blocks of its own whose results,
-   the distinct strings with their first places, are merged by further passes over strings.
+   A bucket of more than HOT contexts is spread over buckets of its single strings.
 4. Every string but the first of its class marks its bytes; marks are merged by document.
 
 Defined cases: a null text is an empty one; texts shorter than LENGTH lose nothing; null ids come
@@ -32,13 +31,14 @@ from pyspark.sql import functions as F
 from . import textvec as tv
 from .common import arrow, id_column, persisted
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM, HOT = 100, 24, 20_000
 #: A perfect difference set modulo 31 (a fixed value): every difference occurs.
 V, COVER = 31, (0, 1, 3, 8, 12, 18)
 DEPTH = LENGTH - V + 1
 BLOCK = 2 << 20
 _PLACE = np.uint64((1 << 30) - 1)
-_SPOTS = "h long, id long, of long, at int"
+_SPOTS = "h long, c long, id long, of long, lo int, width int"
+_FOUND = "kind int, h long, id long, of long, lo int, width int"
 _CONTEXTS = "h long, id long, of long, lo int, width int, bytes binary"
 _MARKS = "id long, of long, lo int, hi int"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -198,70 +198,70 @@ def _spots(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, ofs = id_column(batch, "id").to_numpy(), id_column(batch, "of").to_numpy()
             for first, _, data, offsets in tv.slices(batch):
-                value, pos, _, _ = anchors(data, offsets)
-                row = np.searchsorted(offsets, pos, "right") - 1
-                # repeated anchors of a slice are counted twice at most: two are enough to tell
-                yield arrow(_SPOTS, h=value.view(np.int64), id=ids[first + row], of=ofs[first + row], at=pos - offsets[row])
+                value, _, lo, hi = anchors(data, offsets)
+                row = np.searchsorted(offsets, lo, "right") - 1
+                context = tv.span_hash(tv.prefix_hash(data), lo, hi + LENGTH)
+                yield arrow(_SPOTS, h=value.view(np.int64), c=context.view(np.int64), id=ids[first + row], of=ofs[first + row], lo=lo - offsets[row], width=hi - lo + 1)
 
     return docs.mapInArrow(run, _SPOTS)
 
 
-def _shared(spots: DataFrame) -> DataFrame:
-    """Spots whose anchor occurs again, by a stream over sorted rows."""
+def _found(spots: DataFrame) -> DataFrame:
+    """Rows of kind 0: contexts that occurred before; of kind 1: the first of each context of an anchor with several.
+
+    A stream over sorted rows that holds back one row, however large an anchor's group is.
+    """
 
     def run(batches):
-        held, twice = None, False
+        leader, later, sent = None, False, False  # the last leading row; whether its anchor had others before; whether it is out
         for batch in batches:
             if not len(batch):
                 continue
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
-            h = table.column(0).to_numpy()
-            same = h[1:] == h[:-1]
-            keep = np.zeros(len(h), bool)
-            keep[1:] |= same
-            keep[:-1] |= same
-            keep[0] |= twice
-            held, twice = table.slice(len(h) - 1), bool(keep[-1])
-            yield from table.slice(0, len(h) - 1).filter(pa.array(keep[:-1])).combine_chunks().to_batches()
-        if held is not None and twice:
-            yield from held.combine_chunks().to_batches()
-
-    return spots.repartition("h").sortWithinPartitions("h").mapInArrow(run, _SPOTS)
+            cols = [c.to_numpy() for c in batch.columns]
+            if leader is not None:
+                cols = [np.concatenate([[x], c]) for x, c in zip(leader, cols, strict=True)]
+            h, c, ids, ofs, lo, width = cols
+            new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
+            lead = np.flatnonzero(new)
+            own = lead[np.cumsum(new) - 1]
+            again = np.flatnonzero(~new & ~((ids == ids[own]) & (ofs == ofs[own]) & (lo == lo[own])))
+            same = h[lead[1:]] == h[lead[:-1]]
+            before, after = np.concatenate([[later], same]), np.concatenate([same, [False]])
+            out = before | after
+            out[0] &= not sent
+            rows = np.concatenate([again, lead[out]])
+            if len(rows):
+                yield arrow(_FOUND, kind=np.repeat(np.array([0, 1], np.int32), [len(again), len(rows) - len(again)]), h=h[rows], id=ids[rows], of=ofs[rows], lo=lo[rows], width=width[rows])
+            sent = bool(out[-1]) or (sent and len(lead) == 1)
+            leader, later = [x[lead[-1]] for x in cols], bool(before[-1])
+
+    return spots.repartition("h").sortWithinPartitions("h", "c", "id", "of", "lo").mapInArrow(run, _FOUND)
 
 
 def _contexts(joined: DataFrame) -> DataFrame:
-    """Contexts of the wanted anchors of rows (id, of, text, spots); equal ones within a slice but the first become marks.
-
-    Marks are rows without bytes, whose lo and width tell the strings that are repeats.
-    """
+    """The bytes of wanted contexts of rows (id, of, text, spots); those of hot anchors string by string."""
 
     def run(batches):
         for batch in batches:
-            ids, ofs, lists = id_column(batch, "id").to_numpy(), id_column(batch, "of").to_numpy(), batch.column(batch.schema.get_field_index("spots"))
-            for first, end, data, offsets in tv.slices(batch):
-                value, pos, lo, hi = anchors(data, offsets)
-                row = np.searchsorted(offsets, lo, "right") - 1
-                part = lists.slice(first, end - first)
-                wanted = part.flatten().to_numpy()
-                wanted_row = np.repeat(np.arange(end - first), part.value_lengths().fill_null(0).to_numpy())
-                keep = np.isin(pos, wanted + offsets[wanted_row])
-                value, lo, hi, row = value[keep], lo[keep], hi[keep], row[keep]
-                size = hi - lo + LENGTH
-                raw = data.tobytes()
-                own = sorted(zip(ids[first + row].tolist(), ofs[first + row].tolist(), (lo - offsets[row]).tolist(), (hi - lo + 1).tolist(), value.view(np.int64).tolist(), lo.tolist(), size.tolist(), strict=True))
-                seen: dict[bytes, tuple] = {}
-                rows = []
-                for i, of, start, width, h, a, n in own:
-                    context = raw[a : a + n]
-                    if seen.setdefault(context, (i, of, start)) != (i, of, start):
-                        context = None
-                    rows.append((h, i, of, start, width, context))
-                if rows:
+            rows = []
+            for i, of, text, spots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = text.encode()
+                for spot in spots:
+                    lo, width = spot["lo"], spot["width"]
+                    if not spot["hot"]:
+                        rows.append((spot["h"], i, of, lo, width, raw[lo : lo + width + LENGTH - 1]))
+                        continue
+                    data = np.frombuffer(raw[lo : lo + width + LENGTH - 1], np.uint8)
+                    at = np.arange(width)
+                    for k, h in enumerate(tv.span_hash(tv.prefix_hash(data), at, at + LENGTH).view(np.int64).tolist()):
+                        rows.append((h, i, of, lo + k, 1, raw[lo + k : lo + k + LENGTH]))
+                if len(rows) > 20_000:
                     yield arrow(_CONTEXTS, **dict(zip(("h", "id", "of", "lo", "width", "bytes"), map(list, zip(*rows, strict=True)), strict=True)))
+                    rows = []
+            if rows:
+                yield arrow(_CONTEXTS, **dict(zip(("h", "id", "of", "lo", "width", "bytes"), map(list, zip(*rows, strict=True)), strict=True)))
 
-    return joined.mapInArrow(run, _CONTEXTS)
+    return joined.select("id", "of", "text", "spots").mapInArrow(run, _CONTEXTS)
 
 
 def _sorted_marks(contexts: DataFrame) -> DataFrame:
@@ -319,12 +319,17 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True) -> DataFrame:
     """One row per document with counts, the digest of what stays and, if wanted, its bytes."""
     own = docs.select(docs[id_col].cast("long").alias("raw_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    own = own.select("raw_id", F.coalesce("raw_id", F.lit(-(2**63))).alias("id"), F.xxhash64("text").alias("of"), "text")
-    shared = _shared(_spots(own.select("id", "of", "text")))
-    wanted = shared.groupBy("id", "of").agg(F.collect_set("at").alias("spots"))
-    contexts = persisted(_contexts(own.join(wanted, ["id", "of"]).select("id", "of", "text", "spots")), "contexts")
-    marks = _sorted_marks(contexts.where("bytes is not null")).unionByName(contexts.where("bytes is null").select("id", "of", "lo", (F.col("lo") + F.col("width") + LENGTH - 1).alias("hi")))
-    spans = persisted(marks.groupBy("id", "of").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    # ids that are unique need no hash of the text beside them
+    unique = own.groupBy("raw_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    own = own.select("raw_id", F.coalesce("raw_id", F.lit(-(2**63))).alias("id"), (F.lit(0).cast("long") if unique else F.xxhash64("text")).alias("of"), "text")
+    found = persisted(_found(_spots(own.select("id", "of", "text"))), "found")
+    wanted = found.where("kind = 1")
+    hot = wanted.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
+    spots = wanted.join(hot, "h", "left").groupBy("id", "of").agg(F.collect_list(F.struct("h", "lo", "width", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spots"))
+    contexts = _contexts(own.join(spots, ["id", "of"]))
+    again = found.where("kind = 0").select("id", "of", "lo", (F.col("lo") + F.col("width") + LENGTH - 1).alias("hi"))
+    marks = persisted(_sorted_marks(contexts), "marks").unionByName(again)
+    spans = marks.groupBy("id", "of").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
     def run(batches):
         for batch in batches:

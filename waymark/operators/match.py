@@ -24,17 +24,18 @@ def pairs(queries: DataFrame, index: DataFrame) -> DataFrame:
     Blocks meet by an equi join on the place key; a place with very many rows is split by Spark's
     skew handling, as both sides are plain shuffles.
     """
-    named = F.coalesce(F.col("name"), F.lit(""))
-    asked = queries.where(named != "").select("rec_id", "name", F.posexplode("tiers").alias("tier", "keys")).select("rec_id", "name", "tier", F.explode("keys").alias("place"))
+    named = queries.where(F.coalesce(F.col("name"), F.lit("")) != "").select("rec_id", "name", "tiers")
+    # keys are computed once a record, before records meet candidates
+    keyed = named.withColumn("nkey", text.norm_key(F.col("name"))).withColumn("tkey", rules.dedication_key(F.col("name"))).withColumn("hkey", rules.dedication_head(F.col("name"))).withColumn("kind", rules.kind_of_name(F.col("name")))
+    own = ["rec_id", "nkey", "tkey", "hkey", "kind"]
+    asked = keyed.select(*own, F.posexplode("tiers").alias("tier", "keys")).select(*own, "tier", F.explode("keys").alias("place"))
     return asked.join(index, "place").drop("place").dropDuplicates(["rec_id", "tier", "cand_id"])
 
 
 def scored(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds same_saint, score and passes to pairs of a record's name and a candidate's keys."""
-    name = F.col("name")
-    out = found.withColumn("nkey", text.norm_key(name)).withColumn("tkey", rules.dedication_key(name)).withColumn("hkey", rules.dedication_head(name)).withColumn("kind", rules.kind_of_name(name))
+    """Adds same_saint, score and passes to pairs of a record's and a candidate's keys."""
     set_ = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    out = out.withColumn("same_saint", ~(set_("hkey") & set_("cand_hkey") & (F.col("hkey") != F.col("cand_hkey"))))
+    out = found.withColumn("same_saint", ~(set_("hkey") & set_("cand_hkey") & (F.col("hkey") != F.col("cand_hkey"))))
     full = set_("tkey") & (F.col("tkey") == F.col("cand_tkey"))
     ratio = similarity.ratio(F.col("nkey"), F.col("cand_nkey"))
     out = out.withColumn("ratio", ratio).withColumn("score", F.when(full, F.least(F.lit(100.0), F.col("ratio") + BONUS)).otherwise(F.col("ratio")))
@@ -63,7 +64,7 @@ def best_match(queries: DataFrame, index: DataFrame, threshold: float = THRESHOL
     tiers = decide(scored(pairs(queries, index), threshold), margin)
     hit = F.col("cand_id").isNotNull()
     out = tiers.groupBy("rec_id").agg(F.min_by(F.struct("cand_id", "score", "tier", "reason"), F.struct(~hit, F.col("tier"))).alias("b"))
-    return queries.select("rec_id").join(out, "rec_id", "left").select("rec_id", "b.cand_id", "b.score", "b.tier", F.coalesce("b.reason", F.lit("no candidates")).alias("reason"))
+    return queries.select("rec_id").join(out, "rec_id", "left").select("rec_id", "b.cand_id", "b.score", F.when(F.col("b.cand_id").isNotNull(), F.col("b.tier")).alias("tier"), F.coalesce("b.reason", F.lit("no candidates")).alias("reason"))
 
 
 def exclusive(matched: DataFrame, order: Column | None = None) -> DataFrame:
