@@ -51,7 +51,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = texts.select("id", "of", F.explode(F.expr(f"transform(wanted, p -> struct(p.s as s, p.e as e, {_chunk_text()} as chunk))")).alias("c")).select("id", "of", "c.*")
     firsts = texts.groupBy("chunk").agg(F.min(F.struct("id", "of", "s")).alias("f")).select("f.*")
     gone = found.alias("g").join(firsts.alias("f"), same("g", "f") & (F.col("g.s") == F.col("f.s")), "left_anti").groupBy("id", "of").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("removed"))
-    out = base.alias("d").join(gone.alias("g"), same("d", "g"), "left").select("d.row", "d.text", F.coalesce("removed", F.expr("cast(array() as array<struct<s:int,e:int>>)")).alias("removed")).withColumn("lines", F.split("text", "\n", -1))
+    # the text is taken from the row after the join, so it is shuffled once
+    out = base.select("row", "id", "of").alias("d").join(gone.alias("g"), same("d", "g"), "left").select("d.row", F.coalesce("removed", F.expr("cast(array() as array<struct<s:int,e:int>>)")).alias("removed"))
+    out = out.withColumn("text", F.col("row").getField(text_col).cast("string")).withColumn("lines", F.split("text", "\n", -1))
     kept = F.expr("""if(size(removed) = 0, text, array_join(zip_with(concat(array(0), removed.e), concat(removed.s, array(size(lines))),
                      (a, b) -> if(b > a, array_join(slice(lines, a + 1, b - a), '\n', ''), null)), '\n'))""")
     return out.withColumn("kept", kept).drop("text")
