@@ -39,9 +39,13 @@ def test_ambiguity_and_tiers(spark):
 
 def test_uniqueness(spark):
     long = "katedrala Uznesenja Blažene Djevice Marije i svetih Stjepana i Ladislava"
-    pool = [(1, long, "Zagreb", None, None), (2, "Kapela Uznesenja BDM", "Zagreb", None, None)]
+    pool = [(1, long, "Zagreb", None, None), (2, "Crkva sv. Marka", "Zagreb", None, None)]
     found = hit(spark, pool, "Kompleks Katedrale Uznesenja Marijina", ["Zagreb"])
     assert (found.cand_id, found.score, found.reason) == (1, 0.0, "unique")
+    # a name above the threshold goes first: "uznesenja" in "uznesenja bdm" is 2 * 9 / (9 + 13), and 8 for the dedication
+    near = [(1, long, "Zagreb", None, None), (2, "Kapela Uznesenja BDM", "Zagreb", None, None)]
+    found = hit(spark, near, "Kompleks Katedrale Uznesenja Marijina", ["Zagreb"])
+    assert (found.cand_id, found.reason) == (2, "matched") and abs(found.score - (100 * 18 / 22 + 8)) < 1e-9
     assert hit(spark, [(1, "Kapela Gospe od Zdravlja velike i dobre", "X", None, None)], "Kapela Majke Božje Bistričke", ["X"]).cand_id is None
     assert hit(spark, [(1, long, "Z", None, None), (2, long + " stara", "Z", None, None)], "Kompleks Katedrale Uznesenja Marijina", ["Z"]).cand_id is None
 
