@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ from .components import components, merged
 
 WIDTH, PERCENT, SKETCH, RANGES = 5, 80, 1 << 18, 64
 #: Documents that the others of a shingle are compared with, by round.
-PIVOTS = (2, 8, 32)
+PIVOTS = (4, 32)
+#: Bytes of text that a verifying step holds.
+STEP = 1 << 19
 _SETS = "doc_id long, n long, low long, high long, prefix array<long>, ranges binary"
 _SKETCH = "block int, counts binary"
 _BLOCK = 1 << 14
@@ -155,11 +158,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
     def run(batches):
         for whole in batches:
-            for at in range(0, len(whole), 256):
-                batch = whole.slice(at, 256)
+            # a step's memory is bounded by STEP bytes of text, or by the longest pair
+            sizes = sum(pc.fill_null(pc.binary_length(whole.column(whole.schema.get_field_index(k))), 0).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("tx", "ty"))
+            ends, at = np.cumsum(sizes), 0
+            while at < len(whole):
+                before = ends[at] - sizes[at]
+                stop = min(max(int(np.searchsorted(ends, before + STEP, "right")), at + 1), at + 256)
+                batch, at = whole.slice(at, stop - at), min(stop, len(whole))
                 parts = []
                 for k in ("tx", "ty"):
-                    for first, _, data, offsets in tv.slices(batch, k, 64 << 20):
+                    for first, _, data, offsets in tv.slices(batch, k, STEP):
                         value, bounds = tv.shingles(data, offsets, width)
                         parts.append((value, tv.rows_of(bounds) + first))
                 value, row = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -186,10 +194,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     entries = reps.select(F.col("doc_id").alias("d"), "n", F.posexplode("prefix").alias("pos", "h")).select("h", "d", "pos", "n")
     active = persisted(_shared_only(entries), "active")
     nodes = active.select("d").distinct()
-    ranges = persisted(reps.join(nodes, reps.doc_id == nodes.d, "left_semi").select(F.col("doc_id").alias("d"), "n", "low", "high", "ranges"), "ranges")
-    found = own.join(ranges.select("d").distinct(), own.doc_id == F.col("d"), "left_semi").select(F.col("doc_id").alias("d"), "text")
+    wide = reps.join(nodes, reps.doc_id == nodes.d, "left_semi").groupBy(F.col("doc_id").alias("d")).agg(F.max("n").alias("n"), F.max_by("ranges", "n").alias("r"), F.count("*").alias("c"))
+    ranges = persisted(wide, "ranges")
+    found = own.join(ranges.select("d"), own.doc_id == F.col("d"), "left_semi").select(F.col("doc_id").alias("d"), "text")
     texts = persisted(found, "texts")
-    links, tried, labels = equal, None, None
+    edges, tried, labels = equal, None, None
     for turn, few in enumerate((*pivots, 0)):
         here = active.withColumn("label", F.col("d")).withColumn("members", F.lit(1).cast("long"))
         if labels is not None:
@@ -211,14 +220,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pairs = a.join(b, near & fits).select(F.least(x[0], y[0]).alias("x"), F.greatest(x[0], y[0]).alias("y")).distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti")
-        side = lambda k: ranges.groupBy("d").agg(F.max("n").alias(f"n{k}"), F.max_by("ranges", "n").alias(f"r{k}"), F.count("*").alias(f"c{k}")).withColumnRenamed("d", k)
+        side = lambda k: ranges.select(F.col("d").alias(k), *(F.col(c).alias(f"{c}{k}") for c in ("n", "r", "c")))
         wide = pairs.join(side("x"), "x").join(side("y"), "y")
         pairs = persisted(_likely(wide, percent), "pairs")
         checked = persisted(_verified(pairs, texts, width, percent), "checked")
         tried = checked if tried is None else tried.unionByName(checked)
-        links = links.unionByName(checked.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
+        links = edges.unionByName(checked.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
         if few:
-            found = merged(links)
+            found, edges = merged(links)
             labels = persisted(found.join(found.groupBy("label").agg(F.count("*").alias("members")), "label"), "labels")
         else:
             labels = components(links)
