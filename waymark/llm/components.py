@@ -58,12 +58,14 @@ def _links(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
 
 
-def merged(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((node, label), edges) after one round: nodes of one label are connected, but connected nodes may have several labels.
+def merged(links: DataFrame, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+    """((node, label), edges) after a few rounds: nodes of one label are connected, but connected nodes may have several labels.
 
     The edges have the components of the links; a later round takes them in the links' stead.
     """
-    edges = _round(_links(links))
+    edges = _links(links)
+    for _ in range(rounds):
+        edges = _round(edges)
     return _labels(edges.groupBy("a").agg(F.min("b").alias("b"))), edges
 
 

@@ -36,7 +36,7 @@ from .components import components, merged
 
 WIDTH, PERCENT, SKETCH, RANGES = 5, 80, 1 << 18, 64
 #: Documents that the others of a shingle are compared with, by round.
-PIVOTS = (4, 32)
+PIVOTS = (4, 128)
 #: Bytes of text that a verifying step holds.
 STEP = 1 << 19
 _SETS = "doc_id long, n long, low long, high long, prefix array<long>, ranges binary"
