@@ -154,7 +154,9 @@ def _likely(pairs: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs with their overlap, by comparing whole sets; linked tells whether they reach the threshold."""
     schema = "x long, y long, overlap long, linked boolean"
-    rows = pairs.join(texts.select(F.col("d").alias("y"), F.col("text").alias("ty")), "y").join(texts.select(F.col("d").alias("x"), F.col("text").alias("tx")), "x").select("x", "y", "tx", "ty")
+    # each end fetches its text by itself, so that all texts are shuffled by id once at most; only texts of pairs are then shuffled by pair
+    ends = [pairs.join(texts.select(F.col("d").alias(k), F.col("text").alias(f"t{k}")), k) for k in ("x", "y")]
+    rows = ends[0].join(ends[1], ["x", "y"]).select("x", "y", "tx", "ty")
 
     def run(batches):
         for whole in batches:
@@ -186,17 +188,19 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = _own(docs, id_col, text_col)
     sets = persisted(set_rows(own, shingle_counts(own, width), width, percent), "sets")
     known = sets.where("doc_id is not null and n > 0")
+    # one row per class: its least id and that id's prefix and ranges
+    reps = known.groupBy("low", "high", "n").agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("prefix", "ranges"), "doc_id").alias("s")).select("doc_id", "low", "high", "n", "s.prefix", "s.ranges")
     classes = known.groupBy("low", "high", "n").agg(F.min("doc_id").alias("d"))
     members = known.select("doc_id", "low", "high", "n").join(classes, ["low", "high", "n"]).select("doc_id", "d")
     equal = members.where("doc_id <> d").select(F.col("doc_id").alias("a"), F.col("d").alias("b"))
 
-    reps = sets.join(classes.select(F.col("d").alias("doc_id"), "low", "high", "n"), ["doc_id", "low", "high", "n"], "left_semi").dropDuplicates(["doc_id", "low", "high"])
     entries = reps.select(F.col("doc_id").alias("d"), "n", F.posexplode("prefix").alias("pos", "h")).select("h", "d", "pos", "n")
     active = persisted(_shared_only(entries), "active")
     nodes = active.select("d").distinct()
     wide = reps.join(nodes, reps.doc_id == nodes.d, "left_semi").groupBy(F.col("doc_id").alias("d")).agg(F.max("n").alias("n"), F.max_by("ranges", "n").alias("r"), F.count("*").alias("c"))
     ranges = persisted(wide, "ranges")
-    found = own.join(ranges.select("d"), own.doc_id == F.col("d"), "left_semi").select(F.col("doc_id").alias("d"), "text")
+    # the ids grow with the corpus: never broadcast
+    found = own.join(ranges.select("d").hint("shuffle_merge"), own.doc_id == F.col("d"), "left_semi").select(F.col("doc_id").alias("d"), "text")
     texts = persisted(found, "texts")
     edges, tried, labels = equal, None, None
     for turn, few in enumerate((*pivots, 0)):
