@@ -4,7 +4,8 @@ Candidates are runs of at least MIN_RUN characters of a token alphabet. Each is
 characters in it; a window of WINDOW characters slides over it, its character counts are kept by
 adding one character and taking away another, and sum(c * log2 c) changes with them, so each step
 costs two table look-ups. A candidate is a secret if a window's Shannon entropy reaches its class's
-limit and no allow rule (paths, words, dates, ids, placeholders, one character over and over) covers it.
+limit and no allow rule (words, dates, ids, placeholders, one character over and over) covers it.
+Paths and URLs are judged part by part, and a candidate beside a fixed format by what is left of it.
 
 Defined cases: a null or empty text has no spans; a null id stays null; repeated rows are scanned
 one by one; all patterns run in time linear in the text.
@@ -29,9 +30,14 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 MIN_RUN, WINDOW = 20, 20
 #: Least entropy in bits of a window of 20 characters, by class: (upper, lower, digit) present, or a symbol of base64.
-LIMITS = {"digits": 9.0, "hexadecimal": 3.1, "one_case": 9.0, "one_case_digits": 3.5, "two_cases": 3.6, "mixed": 3.6, "base64": 3.6}
+LIMITS = {"digits": 2.7, "hexadecimal": 3.1, "one_case": 3.3, "one_case_digits": 3.5, "two_cases": 3.6, "mixed": 3.6, "base64": 3.6}
 _LOG = [0.0] + [k * math.log2(k) for k in range(1, WINDOW + 1)]
-ALLOWED = [re.compile(p) for p in (r"https?:", r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"^/|^\.{1,2}/|//", r"(?i)example|placeholder|changeme|your[-_]", r"(.)\1{5}", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", r"^[A-Za-z]+([-_./=+][A-Za-z]+)*[-_./=+]*$", r"^[-_.=+/]+$")]
+ALLOWED = [re.compile(p) for p in (r"https?:", r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"(?i)example|placeholder|changeme|your[-_]", r"(.)\1{5}", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", r"^[-_.=+/]+$")]
+_LETTERS = re.compile(r"[A-Za-z]+([-_./=+]+[A-Za-z]+)*[-_./=+]*")
+_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_PLAIN = re.compile(r"[A-Za-z]+([-_.][A-Za-z0-9]+)*|v?[0-9.]{1,4}")
+#: Pairs of letters that are common in words; of random pairs two in five are among them.
+_PAIRS = set("th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh ir su id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke fr oo av ag if ap gr od bo sp rd do uc bu ei ov by rm ep tt oc fa ef cu rn sc gi da yo cr cl du ga qu ue ff ba ey ls va um pp ua up lu go ht ru ug ds lt pi rc rr eg au ck ew mu br bi pt ak pu ui rg ib tl ny ki rk ys ob mm fu ph og ms ye ud mb ip ub oi rl gu dr hr cc tw ft wn nu af hu nn eo vo rv nf xp gn sm fl iz ok my gl aw ju oa sy sl ps jo lf nv je nk kn gs dy hy ze ks".split())
 _TOKEN, _HEX = np.zeros(256, bool), np.zeros(256, bool)
 _TOKEN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-")] = True
 _HEX[list(b"0123456789abcdef")] = True
@@ -80,8 +86,30 @@ def window_entropy(s: str, width: int = WINDOW) -> float:
     return math.log2(width) - least / width
 
 
+def natural(s: str) -> bool:
+    """Whether the letters of a string form words: pieces of three letters in the mean, made of common pairs."""
+    pieces = _PIECE.findall(s)
+    pairs = [p[k : k + 2].lower() for p in pieces for k in range(len(p) - 1)]
+    return sum(map(len, pieces)) >= 3 * len(pieces) and sum(x in _PAIRS for x in pairs) >= 0.7 * len(pairs)
+
+
+def _dense(s: str) -> bool:
+    if any(p.search(s) for p in ALLOWED) or _LETTERS.fullmatch(s) and natural(s):
+        return False
+    return window_entropy(s) >= LIMITS[char_class(s)]
+
+
+def secret_parts(s: str) -> list[tuple[int, int]]:
+    """Spans of the secrets in a candidate: the whole, or parts of a path or URL."""
+    parts = [(m.start(), m.end()) for m in re.finditer("[^/]+", s)]
+    plain = sum(bool(_PLAIN.fullmatch(s[a:b])) and natural(s[a:b]) for a, b in parts)
+    if s.startswith("//") or "/" in s and 2 * plain >= len(parts):
+        return [(a, b) for a, b in parts if b - a >= MIN_RUN and _dense(s[a:b])]
+    return [(0, len(s))] if _dense(s) else []
+
+
 def is_secret(s: str) -> bool:
-    return not any(p.search(s) for p in ALLOWED) and window_entropy(s) >= LIMITS[char_class(s)]
+    return bool(secret_parts(s))
 
 
 def scan(text: str, hexes: list[tuple[int, int]], candidates: list[tuple[int, int]]) -> tuple[list, list]:
@@ -95,8 +123,10 @@ def scan(text: str, hexes: list[tuple[int, int]], candidates: list[tuple[int, in
     base = sorted(base + [(a, 2, b) for a, b in hexes])
     added = []
     for a, b in candidates:
-        if not any(x < b and a < y for x, _, y in base) and is_secret(text[a:b]):
-            added.append((a, 3, b))
+        for x, y in [*sorted((x, y) for x, _, y in base if x < b and a < y), (b, b)]:
+            if x - a >= MIN_RUN:
+                added += [(a + i, 3, a + j) for i, j in secret_parts(text[a:x])]
+            a = max(a, y)
     return base, added
 
 
