@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
 
@@ -63,7 +64,11 @@ def page(df: DataFrame, order: Sequence[Column | str], number: int, size: int =
 
 
 def ranked_pages(df: DataFrame, order: Sequence[Column | str], group: str | None = None) -> DataFrame:
-    return df.withColumn("place", F.row_number().over((Window.partitionBy(group) if group else Window.partitionBy(F.lit(0))).orderBy(*order)))
+    """The rows with their place in the order. Without a group they are sorted by ranges and numbered by the counts of the ranges before, in no single task."""
+    if group:
+        return df.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    numbered = df.orderBy(*order).rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + 1))
+    return df.sparkSession.createDataFrame(numbered, T.StructType([*df.schema.fields, T.StructField("place", T.IntegerType(), False)]))
 
 
 def locale_order(c: Column, locale: str = "hr") -> Column:

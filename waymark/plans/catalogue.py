@@ -605,7 +605,7 @@ def detail(t: Tables) -> DataFrame:
 
 @query()
 def locale_order(t: Tables) -> DataFrame:
-    words = t.documents.select(F.explode(F.split(F.left("text", F.lit(60)), " ")).alias("word")).distinct()
+    words = t.documents.select(F.explode(F.split("text", " ")).alias("word")).distinct()
     return search.ranked_pages(words, [search.locale_order(F.col("word"))])
 
 
