@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh path in the folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
+    """A fresh path in the folder that spark.checkpoint.dir names; in local mode a temporary one where it is unset."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="waymark-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/waymark-{uuid.uuid4().hex}"
@@ -27,6 +29,27 @@ def persisted(df: DataFrame, tag: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator in the shared folder, deleted as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.root, self.paths = spark, shared_dir(spark), {}
+
+    def keep(self, df: DataFrame, tag: str) -> DataFrame:
+        path = f"{self.root}/{len(self.paths):03d}-{tag}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[out] = path
+        return out
+
+    def drop(self, *frames: DataFrame | None) -> None:
+        for df in frames:
+            if df is not None and (path := self.paths[df]):
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+                self.paths[df] = None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

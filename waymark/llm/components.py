@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, persisted
+from .common import Scratch, arrow
+
+#: Nodes that a task holds before it sends its stars.
+NODES = 500_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -22,11 +25,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _contract(edges: DataFrame) -> DataFrame:
-    """Each partition's links as stars around its least nodes: the same components with fewer, shorter paths."""
+    """A partition's links as stars around least nodes: the same components with fewer, shorter paths.
+
+    Stars are sent and forgotten at NODES nodes, so a task's memory does not grow with its partition.
+    """
 
     def run(batches):
         parent: dict[int, int] = {}
 
+        def stars():
+            nodes = list(parent)
+            for k in range(0, len(nodes), 50_000):
+                pairs = [(x, root(x)) for x in nodes[k : k + 50_000] if root(x) != x]
+                yield arrow("a long, b long", a=[x for x, _ in pairs], b=[y for _, y in pairs])
+            parent.clear()
+
         def root(x: int) -> int:
             while (up := parent.setdefault(x, x)) != x:
                 parent[x] = parent[up]
@@ -38,16 +51,15 @@ def _contract(edges: DataFrame) -> DataFrame:
                 a, b = root(a), root(b)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-        nodes = list(parent)
-        for k in range(0, len(nodes), 50_000):
-            pairs = [(x, root(x)) for x in nodes[k : k + 50_000] if root(x) != x]
-            yield arrow("a long, b long", a=[x for x, _ in pairs], b=[y for _, y in pairs])
+            if len(parent) > NODES:
+                yield from stars()
+        yield from stars()
 
     return edges.mapInArrow(run, "a long, b long")
 
 
-def _round(edges: DataFrame) -> DataFrame:
-    return persisted(_small_star(_large_star(_contract(edges))), "edges")
+def _round(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.keep(_small_star(_large_star(_contract(edges))), "edges")
 
 
 def _labels(edges: DataFrame) -> DataFrame:
@@ -58,24 +70,27 @@ def _links(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
 
 
-def merged(links: DataFrame, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def merged(links: DataFrame, scratch: Scratch, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
     """((node, label), edges) after a few rounds: nodes of one label are connected, but connected nodes may have several labels.
 
     The edges have the components of the links; a later round takes them in the links' stead.
     """
     edges = _links(links)
-    for _ in range(rounds):
-        edges = _round(edges)
+    for k in range(rounds):
+        done, edges = edges, _round(edges, scratch)
+        if k:
+            scratch.drop(done)
     return _labels(edges.groupBy("a").agg(F.min("b").alias("b"))), edges
 
 
-def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, label) for every node of links (a, b); the label is the least node reached. Null ends are ignored."""
-    edges, before = _links(links), None
-    for _ in range(most_rounds):
-        edges = _round(edges)
+    edges, before, done = _links(links), None, None
+    while True:
+        last, edges = done, _round(edges, scratch)
+        scratch.drop(last)
+        done = edges
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             return _labels(edges)
         before = now
-    raise RuntimeError("components did not settle")
