@@ -70,7 +70,7 @@ def _links(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
 
 
-def merged(links: DataFrame, scratch: Scratch, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def merged(links: DataFrame, scratch: Scratch, rounds: int = 1) -> tuple[DataFrame, DataFrame]:
     """((node, label), edges) after a few rounds: nodes of one label are connected, but connected nodes may have several labels.
 
     The edges have the components of the links; a later round takes them in the links' stead.
