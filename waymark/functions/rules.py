@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .binding import let
 
 # Patterns by priority. All are matched without case, with Unicode classes.
 _BDM = r"(?:blažen\w*\s+djevic\w*\s+marij\w*|b\.?\s*d\.?\s*marij\w*|bdm|marijin\w*|gospin\w*)"
@@ -200,11 +201,6 @@ def _epithet(w: Column) -> Column:
     return F.coalesce(lookup(_bare(w), EPITHETS), F.when((w == F.upper(w)) & (w != F.lower(w)), tx.capitalize(w)).otherwise(w))
 
 
-def _let(value: Column, use) -> Column:
-    """use(value) with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _saint(core: Column) -> Column:
     """'sv. Name Epithet' from the words after the saint's mark, up to a locative."""
     rest = F.regexp_replace(F.regexp_extract(core, rf"(?iUs){SAINT_MARK}(.*)$", 1), r"^[ .,\-]+|[ .,\-]+$", "")
@@ -218,13 +214,13 @@ def _saint(core: Column) -> Column:
         named = F.concat_ws(" ", F.concat(F.lit("sv. "), _nominative(F.get(ws, F.lit(0)))), F.transform(F.slice(ws, 2, 4), _epithet))
         return F.when(F.size(ws) > 0, F.trim(F.regexp_replace(named, r"\s+", " ")))
 
-    return _let(_let(words, up_to_place), label)
+    return let(let(words, up_to_place), label)
 
 
 def dedication(name: Column) -> Column:
     """The patron or mystery in a name: a mystery's label, 'sv. Name Epithet' in the nominative, or null."""
     core = tx.empty_to_null(F.trim(F.get(F.split(tx.strip_type_prefix(F.trim(name)), f"(?iU){PLACE_AFTER}", 2), F.lit(0))))
-    return _let(core, lambda c: F.coalesce(first_match(c, MYSTERIES), F.when(matches(c, SAINT_MARK), _saint(c))))
+    return let(core, lambda c: F.coalesce(first_match(c, MYSTERIES), F.when(matches(c, SAINT_MARK), _saint(c))))
 
 
 def _key_of(label: Column) -> Column:
@@ -238,4 +234,4 @@ def dedication_key(name: Column) -> Column:
 def dedication_head(name: Column) -> Column:
     """The key of the saint alone, without epithets; mysteries whole."""
     saint = lambda c: F.concat(F.lit("sv. "), F.substring_index(F.substring(c, 5, 1 << 20), " ", 1))
-    return _key_of(_let(dedication(name), lambda c: F.when(F.startswith(c, F.lit("sv. ")), saint(c)).otherwise(c)))
+    return _key_of(let(dedication(name), lambda c: F.when(F.startswith(c, F.lit("sv. ")), saint(c)).otherwise(c)))

@@ -109,18 +109,19 @@ def resolve_seats(parishes: DataFrame, settlements: DataFrame, municipalities: D
     far = ~F.col("inside") & (F.col("least_km") > far_km)
     few = F.when(F.col("n_exact") > 0, F.col("n_exact")).otherwise(F.col("n_all"))
     fine = F.col("counties").isNull() | F.col("here").isNull() | F.array_contains("counties", F.col("here"))
+    verdict = lambda action, target, reason: F.struct(action.alias("action"), target.cast("bigint").alias("target"), reason.alias("reason"))
     decided = (
-        F.when(has & F.col("o.o_idx").isNotNull() & ~at_goal, F.struct(F.lit("fix"), F.col("o.o_idx"), F.lit("override")))
-        .when(has | nowhere, F.struct(F.lit("keep"), F.lit(None).cast("bigint"), F.lit("settled")))
-        .when(far & (few == 1), F.struct(F.lit("fix"), F.when(F.col("n_exact") > 0, F.col("one_exact")).otherwise(F.col("one_any")), F.lit("far")))
-        .when(far, F.struct(F.lit("drop"), F.lit(None).cast("bigint"), F.lit("far")))
-        .when(fine, F.struct(F.lit("keep"), F.lit(None).cast("bigint"), F.lit("settled")))
-        .when(F.col("ok_exact") == 1, F.struct(F.lit("fix"), F.col("ok_exact_idx"), F.lit("county")))
-        .when(F.col("ok_all") == 1, F.struct(F.lit("fix"), F.col("ok_idx"), F.lit("county")))
-        .otherwise(F.struct(F.lit("keep"), F.lit(None).cast("bigint"), F.lit("unclear")))
+        F.when(has & F.col("o.o_idx").isNotNull() & ~at_goal, verdict(F.lit("fix"), F.col("o.o_idx"), F.lit("override")))
+        .when(has | nowhere, verdict(F.lit("keep"), F.lit(None).cast("bigint"), F.lit("settled")))
+        .when(far & (few == 1), verdict(F.lit("fix"), F.when(F.col("n_exact") > 0, F.col("one_exact")).otherwise(F.col("one_any")), F.lit("far")))
+        .when(far, verdict(F.lit("drop"), F.lit(None).cast("bigint"), F.lit("far")))
+        .when(fine, verdict(F.lit("keep"), F.lit(None).cast("bigint"), F.lit("settled")))
+        .when(F.col("ok_exact") == 1, verdict(F.lit("fix"), F.col("ok_exact_idx"), F.lit("county")))
+        .when(F.col("ok_all") == 1, verdict(F.lit("fix"), F.col("ok_idx"), F.lit("county")))
+        .otherwise(verdict(F.lit("keep"), F.lit(None).cast("bigint"), F.lit("unclear")))
     )
     d = rows.select(key, decided.alias("d"))
-    return d.select(key, F.col("d.col1").alias("action"), F.col("d.col2").cast("bigint").alias("target"), F.col("d.col3").alias("reason"))
+    return d.select(key, "d.*")
 
 
 def apply_fixes(parishes: DataFrame, resolved: DataFrame, settlements: DataFrame, buildings: DataFrame) -> DataFrame:

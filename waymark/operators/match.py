@@ -18,8 +18,8 @@ def candidate_index(buildings: DataFrame, places: list[str], name: str = "name",
     return keyed.select("*", F.explode("_places").alias("place")).drop("_places")
 
 
-def pairs(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """Records (rec_id, name, tiers: array of arrays of place keys) with all candidates of each tier, once each.
+def _met(queries: DataFrame, index: DataFrame) -> DataFrame:
+    """Records (rec_id, name, tiers: array of arrays of place keys) with the candidates of each tier, once for each place, and whether their saints may be the same.
 
     Blocks meet by an equi join on the place key; a place with very many rows is split by Spark's
     skew handling, as both sides are plain shuffles.
@@ -29,17 +29,25 @@ def pairs(queries: DataFrame, index: DataFrame) -> DataFrame:
     keyed = named.withColumn("nkey", text.norm_key(F.col("name"))).withColumn("tkey", rules.dedication_key(F.col("name"))).withColumn("hkey", rules.dedication_head(F.col("name"))).withColumn("kind", rules.kind_of_name(F.col("name")))
     own = ["rec_id", "nkey", "tkey", "hkey", "kind"]
     asked = keyed.select(*own, F.posexplode("tiers").alias("tier", "keys")).select(*own, "tier", F.explode("keys").alias("place"))
-    return asked.join(index, "place").drop("place").dropDuplicates(["rec_id", "tier", "cand_id"])
+    set_ = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    same = ~(set_("hkey") & set_("cand_hkey") & (F.col("hkey") != F.col("cand_hkey")))
+    return asked.join(index, "place").drop("place").withColumn("same_saint", same)
+
 
+def scored(queries: DataFrame, index: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of a record and a candidate of a tier, once each, with same_saint, score and passes.
 
-def scored(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds same_saint, score and passes to pairs of a record's and a candidate's keys."""
+    Names are compared only where the saints may be the same; of all other pairs one stays for a record and tier.
+    """
+    met = _met(queries, index)
     set_ = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    out = found.withColumn("same_saint", ~(set_("hkey") & set_("cand_hkey") & (F.col("hkey") != F.col("cand_hkey"))))
+    out = met.where("same_saint").dropDuplicates(["rec_id", "tier", "cand_id"])
     full = set_("tkey") & (F.col("tkey") == F.col("cand_tkey"))
     ratio = similarity.ratio(F.col("nkey"), F.col("cand_nkey"))
     out = out.withColumn("ratio", ratio).withColumn("score", F.when(full, F.least(F.lit(100.0), F.col("ratio") + BONUS)).otherwise(F.col("ratio")))
-    return out.withColumn("passes", F.col("same_saint") & (F.col("score") >= threshold))
+    out = out.withColumn("passes", F.col("score") >= threshold)
+    others = met.where("not same_saint").groupBy("rec_id", "tier").agg(F.lit(False).alias("same_saint"), F.lit(False).alias("passes"))
+    return out.unionByName(others, allowMissingColumns=True)
 
 
 def decide(judged: DataFrame, margin: float = MARGIN) -> DataFrame:
@@ -61,7 +69,7 @@ def decide(judged: DataFrame, margin: float = MARGIN) -> DataFrame:
 
 def best_match(queries: DataFrame, index: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """(rec_id, cand_id, score, tier, reason) of every record; a tier without a hit falls through to the next."""
-    tiers = decide(scored(pairs(queries, index), threshold), margin)
+    tiers = decide(scored(queries, index, threshold), margin)
     hit = F.col("cand_id").isNotNull()
     out = tiers.groupBy("rec_id").agg(F.min_by(F.struct("cand_id", "score", "tier", "reason"), F.struct(~hit, F.col("tier"))).alias("b"))
     return queries.select("rec_id").join(out, "rec_id", "left").select("rec_id", "b.cand_id", "b.score", F.when(F.col("b.cand_id").isNotNull(), F.col("b.tier")).alias("tier"), F.coalesce("b.reason", F.lit("no candidates")).alias("reason"))

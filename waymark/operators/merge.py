@@ -72,7 +72,8 @@ def mark_duplicates(persons: DataFrame) -> DataFrame:
     """Adds duplicate_of: among active persons without a national number that agree in kind, name, city and
     address, all but the earliest registered point to its registry_id. Nulls agree with nulls."""
     active = F.coalesce(F.col("registry_status").ilike("AKTIV%"), F.lit(True)) & F.nullif(F.trim("oib"), F.lit("")).isNull()
-    own = Window.partitionBy(active, "kind", "name", "city", "address")
+    # rows outside the active set are each a group of their own
+    own = Window.partitionBy(F.when(active, F.lit(None)).otherwise(F.col("registry_id")), active, "kind", "name", "city", "address")
     order = [F.col(c).asc_nulls_first() for c in ("registered_at", "registry_no", "registry_id")]
     first = F.first_value("registry_id").over(own.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return persons.drop("duplicate_of").withColumn("duplicate_of", F.when(active & (F.col("registry_id") != first), first))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,29 +24,42 @@ def index_fold(c: Column) -> Column:
 
 def token_index(df: DataFrame, id_: str, columns: Sequence[str]) -> DataFrame:
     """(id, token): distinct folded words of all indexed columns."""
+    return df.select(id_, F.explode(F.array_distinct(_tokens(columns))).alias("token"))
+
+
+def _tokens(columns: Sequence[str]) -> Column:
     words = F.split(F.concat_ws(" ", *(index_fold(F.col(c)) for c in columns)), r"[^\p{L}\p{N}]+")
-    return df.select(id_, F.explode(F.array_distinct(F.filter(words, lambda w: w != ""))).alias("token"))
+    return F.filter(words, lambda w: w != "")
 
 
-def search_all(index: DataFrame, id_: str, query: str) -> DataFrame:
-    """Ids with every word of the query; a word that ends in * is a beginning."""
-    import re
+def _words_of(spark, query: str) -> list[str]:
+    """The folded words of a query; nothing of a table is read."""
+    row = spark.range(1).select(index_fold(F.lit(query.strip())).alias("q")).first()
+    return list(dict.fromkeys(w for w in row.q.split() if w))
+
+
+def _is_word(token: Column, word: str) -> Column:
+    return F.startswith(token, F.lit(word[:-1])) if word.endswith("*") else token == word
+
 
-    spark = index.sparkSession
-    words = [w for w in re.split(r"\s+", query.strip()) if w]
-    if not words:
+def search_all(index: DataFrame, id_: str, query: str) -> DataFrame:
+    """Ids of an index (id, token) with every word of the query; a word that ends in * is a beginning."""
+    wanted = _words_of(index.sparkSession, query)
+    if not wanted:
         return index.select(id_).limit(0)
-    folded = spark.createDataFrame([(w,) for w in words], "w string").select(index_fold(F.col("w")).alias("w")).distinct()
-    wanted = [r.w for r in folded.collect()]  # words of the query, not rows of the index
-    hit = [F.bool_or(F.startswith("token", F.lit(w[:-1])) if w.endswith("*") else F.col("token") == w).alias(f"h{k}") for k, w in enumerate(wanted)]
-    some = [F.startswith("token", F.lit(w[:-1])) if w.endswith("*") else F.col("token") == w for w in wanted]
-    any_ = some[0]
-    for c in some[1:]:
-        any_ = any_ | c
-    found = index.where(any_).groupBy(id_).agg(*hit)
+    hits = [_is_word(F.col("token"), w) for w in wanted]
+    found = index.where(reduce(or_, hits)).groupBy(id_).agg(*(F.bool_or(h).alias(f"h{k}") for k, h in enumerate(hits)))
     return found.where(" and ".join(f"h{k}" for k in range(len(wanted)))).select(id_)
 
 
+def search_rows(df: DataFrame, id_: str, columns: Sequence[str], query: str) -> DataFrame:
+    """The same ids straight from the rows: each row's words are tested in place, without an index or a shuffle."""
+    wanted = _words_of(df.sparkSession, query)
+    if not wanted:
+        return df.select(id_).limit(0)
+    return df.select(id_, _tokens(columns).alias("_words")).where(reduce(and_, (F.exists("_words", lambda t, w=w: _is_word(t, w)) for w in wanted))).select(id_)
+
+
 def search_text(df: DataFrame, columns: Sequence[str], part: str) -> DataFrame:
     """Rows with a folded part of text in any of the columns."""
     want = text.search_fold(F.lit(part))
@@ -75,7 +90,49 @@ def locale_order(c: Column, locale: str = "hr") -> Column:
     return F.collate(c, locale)
 
 
-def detail(parents: DataFrame, children: DataFrame, key: str, foreign: str, fields: Sequence[str]) -> DataFrame:
-    """One document a parent: its columns, its children in order, and whether one is flagged as main."""
-    items = children.groupBy(F.col(foreign).alias(key)).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("items"))
-    return parents.join(items, key, "left").withColumn("items", F.coalesce("items", F.array().cast(items.schema["items"].dataType)))
+def detail(parents: DataFrame, children: DataFrame, key: str, foreign: str, fields: Sequence[str], main: str | None = None) -> DataFrame:
+    """One document a parent: its columns, its children in order and, if a flag column is named, has_main: whether a child has it set."""
+    found = [F.array_sort(F.collect_list(F.struct(*fields))).alias("items"), *([F.bool_or(F.coalesce(F.col(main).cast("boolean"), F.lit(False))).alias("has_main")] if main else [])]
+    items = children.groupBy(F.col(foreign).alias(key)).agg(*found)
+    out = parents.join(items, key, "left").withColumn("items", F.coalesce("items", F.array().cast(items.schema["items"].dataType)))
+    return out.na.fill(False, ["has_main"]) if main else out
+
+
+def detail_documents(parents: DataFrame, key: str, route: str, slug: str, children: dict[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """(route, slug, document): a JSON document for each row by which a page is looked up, with a list for each kind of child."""
+    out = parents
+    for name, (df, foreign, fields) in children.items():
+        out = detail(out, df, key, foreign, fields).withColumnRenamed("items", name)
+    return out.select(F.lit(route).alias("route"), F.col(slug).alias("slug"), F.to_json(F.struct(*out.columns)).alias("document"))
+
+
+def by_slug(documents: DataFrame, asked: DataFrame) -> DataFrame:
+    """Documents (route, slug, document) of the (route, slug) asked for; unknown ones have none."""
+    return asked.join(documents, ["route", "slug"], "left")
+
+
+def browse(df: DataFrame, columns: Sequence[str], part: str = "", kinds: Sequence[str] = (), equal: dict[str, str] | None = None, kind: str = "kind") -> DataFrame:
+    """The browse filters together: folded text in any column, one of the kinds (none: all), and columns of one value."""
+    out = search_text(df, columns, part) if part.strip() else df
+    if kinds:
+        out = out.where(F.col(kind).isin(*kinds))
+    for column, value in (equal or {}).items():
+        out = out.where(F.col(column) == value)
+    return out
+
+
+def toggled(kinds: Sequence[str], kind: str) -> list[str]:
+    """The chosen kinds with one more, or without it if it was chosen; in their order."""
+    return [k for k in kinds if k != kind] if kind in kinds else [*kinds, kind]
+
+
+def indexed_place(city: Column, settlement: Column, municipality: Column) -> Column:
+    """The place that a building is listed under: the first of its address, settlement and municipality that is filled."""
+    return F.coalesce(*(text.empty_to_null(F.trim(c)) for c in (city, settlement, municipality)))
+
+
+def siblings(df: DataFrame, group: str, id_: str, fields: Sequence[str], flag: str) -> DataFrame:
+    """(id, main, others): for each row of a group its flagged row's id (least one), and the others in order, itself left out."""
+    own = df.groupBy(group).agg(F.min(F.when(F.col(flag).cast("boolean"), F.col(id_))).alias("main"), F.array_sort(F.collect_list(F.struct(*fields, F.col(id_)))).alias("_all"))
+    joined = df.select(id_, group).join(own, group)
+    return joined.select(id_, "main", F.filter("_all", lambda x: x[id_] != F.col(id_)).alias("others"))

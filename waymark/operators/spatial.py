@@ -10,15 +10,22 @@ from ..functions import geo, text
 POLYGON_CELL, POINT_CELL = 0.1, 0.01
 
 
-def within(left: DataFrame, right: DataFrame, radius_km: float, prefix: str = "r_") -> DataFrame:
-    """Pairs of points (columns lat, lng on either side) at most so far apart, with metres.
+def _met(left: DataFrame, right: DataFrame, degrees: float, prefix: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of points from neighbouring cells, a superset of those within so many degrees; also: columns that agree.
 
     Left points meet right points of their cell and its neighbours by an equi join, never all of them.
     """
-    size = geo.cell_size(radius_km)
-    a = left.withColumn("_cell", F.explode(geo.cells_around(F.col("lat"), F.col("lng"), *size)))
-    b = right.select(*(F.col(c).alias(f"{prefix}{c}") for c in right.columns)).withColumn("_cell", geo.cell(F.col(f"{prefix}lat"), F.col(f"{prefix}lng"), *size))
-    met = a.join(b, "_cell").drop("_cell")
+    a = left.withColumn("_cell", F.explode(geo.cells_around(F.col("lat"), F.col("lng"), degrees)))
+    b = right.select(*(F.col(c).alias(f"{prefix}{c}") for c in right.columns)).withColumn("_cell", geo.cell(F.col(f"{prefix}lat"), F.col(f"{prefix}lng"), degrees))
+    on = a["_cell"] == b["_cell"]
+    for c in also:
+        on &= F.col(c) == F.col(f"{prefix}{c}")
+    return a.join(b, on).drop("_cell")
+
+
+def within(left: DataFrame, right: DataFrame, radius_km: float, prefix: str = "r_") -> DataFrame:
+    """Pairs of points (columns lat, lng on either side) at most so far apart, with metres; at any latitude, and over the date line."""
+    met = _met(left, right, geo.degrees_of(radius_km), prefix)
     return met.withColumn("metres", geo.haversine_m(F.col("lat"), F.col("lng"), F.col(f"{prefix}lat"), F.col(f"{prefix}lng"))).where(F.col("metres") <= radius_km * 1000)
 
 
@@ -79,27 +86,34 @@ def name_candidates(asked: DataFrame, settlements: DataFrame, id_: str, name: st
     return asked.select(id_, text.fold_key(F.col(name)).alias("_key")).where("_key <> ''").join(listed, "_key").select(id_, of, (F.col("_key") == F.col("_whole")).alias("exact"))
 
 
-def concentric(asked: DataFrame, pool: DataFrame, id_: str, pool_id: str, circles: list[str], last_km: float = 50.0) -> DataFrame:
-    """(id, p_<pool_id>, circle) of the nearest pool point in the narrowest circle that has any.
+def concentric(asked: DataFrame, pool: DataFrame, id_: str, pool_id: str, circles: list[str], first_degrees: float = 1.0) -> DataFrame:
+    """(id, p_<pool_id>, circle) of the nearest pool point in the narrowest circle that has any; circle len(circles) is the whole pool.
 
-    circles are columns of both sides, narrow first. Points whose circles are empty search by rings
-    of cells, doubling the radius until all are found, so no step pairs all points with all.
+    circles are columns of both sides, narrow first. In a circle points meet the pool by cells, first
+    within a small radius; those that found nothing ask again at twice the radius, until the cells span
+    the globe. So nobody is compared with a whole circle unless it is as sparse as that, and every
+    point whose circle has a pool point finds the nearest. Points without a place find none.
     """
-    p = pool.select(*(F.col(c).alias(f"p_{c}") for c in [pool_id, "lat", "lng", *circles]))
-    dist = geo.degrees2(F.col("lat"), F.col("lng"), F.col("p_lat"), F.col("p_lng"))
-    out, rest = None, asked
-    for k, circle in enumerate(circles):
-        met = rest.join(p, F.col(circle) == F.col(f"p_{circle}")).groupBy(id_).agg(F.min(F.struct(dist.alias("d"), F.col(f"p_{pool_id}").alias("p"))).alias("b")).select(id_, F.col("b.p").alias(f"p_{pool_id}"), F.lit(k).alias("circle"))
-        out = met if out is None else out.unionByName(met)
-        rest = rest.join(met.select(id_), id_, "left_anti")
-    radius = last_km
-    for _ in range(10):
-        if rest.isEmpty():
-            break
-        met = within(rest.select(id_, "lat", "lng"), pool.select(pool_id, "lat", "lng"), radius, "p_")
-        near = met.groupBy(id_).agg(F.min(F.struct(dist.alias("d"), F.col(f"p_{pool_id}").alias("p"))).alias("b")).select(id_, F.col("b.p").alias(f"p_{pool_id}"), F.lit(len(circles)).alias("circle"))
-        out = near if out is None else out.unionByName(near)
-        rest, radius = rest.join(near.select(id_), id_, "left_anti"), radius * 2
+    p = pool.where("lat is not null and lng is not null").select(pool_id, "lat", "lng", *circles)
+    apart = geo.degrees2(F.col("lat"), F.col("lng"), F.col("p_lat"), F.col("p_lng"))
+    out, rest = None, asked.where("lat is not null and lng is not null").select(id_, "lat", "lng", *circles)
+    for k in range(len(circles) + 1):
+        own = tuple(circles[k : k + 1])
+        here = rest.join(p.select(*own).distinct(), list(own), "left_semi") if own else rest
+        degrees = first_degrees
+        while True:
+            met = _met(here, p.select(pool_id, "lat", "lng", *own), degrees, "p_", own).withColumn("_d", apart)
+            near = met.where(F.col("_d") <= degrees**2) if degrees < 720 else met
+            best = near.groupBy(id_).agg(F.min(F.struct("_d", f"p_{pool_id}")).alias("b")).select(id_, f"b.p_{pool_id}", F.lit(k).alias("circle"))
+            out = best if out is None else out.unionByName(best)
+            here = here.join(best.select(id_), id_, "left_anti").persist()
+            if degrees >= 720 or here.isEmpty():
+                break
+            degrees *= 2
+        if own:
+            rest = rest.join(p.select(*own).distinct(), list(own), "left_anti").persist()
+            if rest.isEmpty():
+                break
     return out
 
 

@@ -37,7 +37,7 @@ def border(layer: DataFrame, key: str, group: str, polygons: str = "polygons") -
     """(group, x1, y1, x2, y2): sides that only one polygon of the group has; shared ones cancel."""
     grouped = layer.select(F.col(group), F.col(key), F.col(polygons).alias("polygons"))
     sides = geo.edges(grouped.withColumn("_k", F.struct(group, key)), "_k").select(F.col(f"_k.{group}").alias(group), "x1", "y1", "x2", "y2").where("x1 <> x2 or y1 <> y2")
-    a, b = F.struct("x1", "y1"), F.struct("x2", "y2")
+    a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
     undirected = sides.groupBy(group, F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.count("*").alias("n"), F.first(F.struct("x1", "y1", "x2", "y2")).alias("e"))
     return undirected.where("n = 1").select(group, "e.*")
 
@@ -70,7 +70,9 @@ def stitch(sides: np.ndarray) -> list[list[tuple[float, float]]]:
 
 
 def simplify(ring: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """Douglas and Peucker's choice of points of a closed ring."""
+    """Douglas and Peucker's choice of points of a closed ring, from its least point on, which is always a corner."""
+    first = ring.index(min(ring))
+    ring = [*ring[first:], *ring[:first]]
     pts = np.asarray([*ring, ring[0]], float)
     keep = np.zeros(len(pts), bool)
     far = int(np.argmax(((pts - pts[0]) ** 2).sum(1)))

@@ -56,8 +56,17 @@ def aliases(df: DataFrame, key: str = "osm_id") -> DataFrame:
 
 
 def dataset(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a portal dataset: a list, or an object's first list, is read as one table."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+    """Rows of a portal dataset (schema as DDL): a file is a list of records, or an object whose first list of records counts.
+
+    A file without any gives no rows.
+    """
+    row = F.from_json("r", schema)
+    records = "array<map<string,string>>"
+    raw = spark.read.text(path, wholetext=True).where("trim(value) <> ''").select(F.trim("value").alias("v"))
+    listed = F.when(F.startswith("v", F.lit("[")), F.col("v")).otherwise(
+        F.get(F.filter(F.map_values(F.from_json("v", "map<string,string>")), lambda x: F.startswith(x, F.lit("[")) & (F.size(F.from_json(x, records)) > 0)), F.lit(0))
+    )
+    return raw.select(F.explode(F.from_json(listed, "array<string>")).alias("r")).select(row.alias("r")).select("r.*")
 
 
 def registry(df: DataFrame) -> DataFrame:
@@ -128,7 +137,10 @@ def places(spark: SparkSession, path: str) -> DataFrame:
 
 
 def features(spark: SparkSession, path: str) -> DataFrame:
-    """Boundary polygons of a GeoJSON file in file order; other geometry is dropped."""
+    """Boundary polygons of a GeoJSON file in file order; other geometry is dropped, a missing file is an empty layer."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], f"idx bigint, name string, jls string, county string, population bigint, area_km2 double, polygons {geo.POLYGONS}")
     raw = spark.read.schema("features array<struct<geometry:string,properties:struct<name:string,jls_name:string,zupanija:string,stanovnistvo:bigint,area_km2:double>>>").json(path, multiLine=True)
     out = raw.select(F.posexplode("features").alias("idx", "f")).withColumn("polygons", geo.geojson_polygons(F.col("f.geometry")))
     return out.where("size(polygons) > 0").select(F.col("idx").cast("bigint").alias("idx"), F.coalesce("f.properties.name", F.lit("")).alias("name"), F.coalesce("f.properties.jls_name", F.lit("")).alias("jls"), F.coalesce("f.properties.zupanija", F.lit("")).alias("county"), F.coalesce("f.properties.stanovnistvo", F.lit(0)).alias("population"), F.coalesce("f.properties.area_km2", F.lit(0.0)).alias("area_km2"), "polygons")
