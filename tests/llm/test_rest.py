@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
-from waymark.llm import components, linededup, lmscore, templates, textvec, warc
+from waymark.llm import common, components, linededup, lmscore, templates, textvec, warc
 
 
 # --- WARC ---
@@ -180,7 +180,7 @@ def test_bit_map_has_no_false_negatives(documents, spark):
 def test_components(spark):
     r = random.Random(4)
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 150)] + [(r.randrange(200, 260), r.randrange(200, 260)) for _ in range(40)] + [(None, 3), (5, 5)]
-    got = {x.node: x.label for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {x.node: x.label for x in components.components(spark.createDataFrame(edges, "a long, b long"), common.Scratch(spark)).collect()}
     label = {}
     nodes = {x for e in edges if None not in e and e[0] != e[1] for x in e}
     near = {n: {b for a, b in edges if a == n and b is not None} | {a for a, b in edges if b == n and a is not None} for n in nodes}
@@ -191,4 +191,4 @@ def test_components(spark):
                 label[x] = n
                 stack += near[x]
     assert got == label
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components.components(spark.createDataFrame([], "a long, b long"), common.Scratch(spark)).count() == 0

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from tests.llm.conftest import prose
 from waymark.llm import suffixdedup as sd
 
 
@@ -22,8 +23,8 @@ def brute(rows):
     return out
 
 
-def run(docs):
-    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup_substrings(docs).collect()}
+def run(docs, **options):
+    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup_substrings(docs, **options).collect()}
 
 
 def test_matches_brute_force(documents, corpus):
@@ -32,13 +33,32 @@ def test_matches_brute_force(documents, corpus):
 
 
 @pytest.mark.parametrize("block", [1 << 10, 1 << 20])
-def test_small_alphabet(documents, monkeypatch, block):
-    monkeypatch.setattr(sd, "BLOCK", block)
+def test_small_alphabet(documents, block):
     r = random.Random(3)
     parts = ["".join(r.choice("ab") for _ in range(130)) for _ in range(6)]
     texts = ["".join(r.choice(parts)[: r.choice([90, 130])] for _ in range(r.randint(0, 6))) for _ in range(30)] + ["ab" * 300, "ba" * 90, "a" * 99, "a" * 100, "a" * 101]
     rows = list(enumerate(texts))
-    assert run(documents(rows)) == brute(rows)
+    assert run(documents(rows), block=block) == brute(rows)
+
+
+@pytest.mark.parametrize("hot,bits", [(3, 64), (8192, 3), (3, 3)])
+def test_large_buckets_and_equal_hashes(documents, corpus, monkeypatch, hot, bits):
+    """A passage in many documents, anchors with many contexts, and different contexts under one hash."""
+    monkeypatch.setattr(sd, "HOT", hot)
+    r = random.Random(8)
+    passage, phrase = prose(70, 30), "a phrase of more than twenty-four characters "
+    texts = corpus + [f"{prose(2000 + k, r.randint(0, 9))} {passage} {prose(3000 + k, 5)}" for k in range(40)]
+    texts += [f"{prose(4000 + k, 20)} {phrase}{prose(4000 + k // 2, 20)}" for k in range(40)]
+    rows = list(enumerate(texts))
+    docs = documents(rows)
+    assert run(docs, bits=bits) == brute(rows)
+
+
+def test_text_longer_than_a_block_and_clashing_columns(documents):
+    long = prose(1, 3000)
+    rows = [(1, long), (2, long[5000:9000] + "x" * 50), (3, long)]
+    docs = documents(rows).withColumnsRenamed({"lang": "id", "source": "of", "n_chars": "raw_id"})
+    assert run(docs, block=1 << 12) == brute(rows)
 
 
 def test_difference_cover_and_classes():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,6 +43,11 @@ class Scratch:
         self.paths[out] = path
         return out
 
+    def sweep(self) -> None:
+        """Lets Spark's cleaner delete the shuffle files of steps that are kept as tables and no longer referred to."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *frames: DataFrame | None) -> None:
         for df in frames:
             if df is not None and (path := self.paths[df]):

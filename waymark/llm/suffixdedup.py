@@ -4,19 +4,26 @@
    equals) is its anchor, so equal strings have equal anchors at the same place. Strings with one
    anchor are consecutive; the bytes under them are the anchor's context, some 130. A row of an
    anchor carries the hashes of the gram and of the context, not the bytes.
-2. Buckets. Rows meet by their anchor, sorted, as a stream. A context that occurred before (by its
-   64-bit hash) marks all its strings. An anchor with different contexts is a suffix bucket to be
-   sorted: only for those, and once for each different context, are bytes fetched from the texts.
-3. Sorting. A task takes whole buckets until BLOCK bytes are held and sorts the suffixes in them:
+2. Equal contexts. Those that are equal inside a slice of a task are compared byte by byte there;
+   the later ones are repeats and need not meet their anchor's bucket, so a passage in a third of
+   all rows makes no hot bucket. The others meet by anchor, sorted, as a stream; those of one hash
+   are a class, and all but its first are repeats. Every class is checked by the BLAKE2 digests of
+   its members' bytes; the anchors of a class that fails go to the sort as a whole.
+3. Buckets. An anchor with different contexts is a suffix bucket to be sorted: the first of each
+   class sends its bytes.
+4. Sorting. A task takes whole buckets until BLOCK bytes are held and sorts the suffixes in them:
    by their first and last bytes, and, where these tie, by the ranks of a difference cover's
    samples. The cover D modulo V has for any two positions i, j a shift d < V such that i + d and
    j + d are both samples; ranks of DEPTH bytes at samples are computed once a block, so a tie of
-   any length is one comparison of two numbers, and memory is bounded by the block.
-   A bucket of more than HOT contexts is spread over buckets of its single strings.
-4. Every string but the first of its class marks its bytes; marks are merged by document.
+   any length is one comparison of two numbers. A bucket of more than HOT contexts, which would not
+   fit a block, is spread instead: its single strings meet by the digests of their bytes, and the
+   first of each is an aggregate. So memory is bounded by BLOCK and HOT contexts.
+5. Every string but the first of its class marks its bytes; marks are merged by document.
 
 Defined cases: a null text is an empty one; texts shorter than LENGTH lose nothing; null ids come
-before all others; rows with equal id and text are one document; other columns are ignored.
+before all others; rows with equal id and text are one document; other columns, also such as are
+named like ours, are ignored; an empty table gives no rows; a text of any length is one slice, with
+memory in proportion to it; one of more than 1 GiB raises an error.
 """
 
 from __future__ import annotations
@@ -29,17 +36,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import arrow, id_column, persisted
+from .common import Scratch, arrow, id_column
 
-LENGTH, GRAM, HOT = 100, 24, 20_000
+LENGTH, GRAM, HOT = 100, 24, 8192
+#: Bytes of a slice in which equal contexts are found at once.
+SLICE = 1 << 20
 #: A perfect difference set modulo 31 (a fixed value): every difference occurs.
 V, COVER = 31, (0, 1, 3, 8, 12, 18)
 DEPTH = LENGTH - V + 1
 BLOCK = 2 << 20
 _PLACE = np.uint64((1 << 30) - 1)
-_SPOTS = "h long, c long, id long, of long, lo int, width int"
-_FOUND = "kind int, h long, id long, of long, lo int, width int"
-_CONTEXTS = "h long, id long, of long, lo int, width int, bytes binary"
+#: Kinds of rows: found again (in its slice or its bucket), to be sorted, first of a class that nothing else is asked of, string of a large bucket.
+LOCAL, AGAIN, SORT, FIRST, STRING = range(5)
+_SPOTS = "deal long, local int, h long, c long, id long, of long, lo int, width int, copies int"
+_FOUND = "kind int, h long, c long, id long, of long, lo int, width int"
+_BYTES = "kind int, h long, c long, id long, of long, lo int, width int, bytes binary"
 _MARKS = "id long, of long, lo int, hi int"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
@@ -58,6 +69,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     none = (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3)
     if len(data) < LENGTH:
         return none
+    if len(data) > int(_PLACE):
+        raise ValueError("a text of more than 1 GiB")
     prefix = tv.prefix_hash(data)
     value = (prefix[GRAM:] - prefix[:-GRAM]) * tv.powers(len(data))[1][: len(data) - GRAM + 1]
     value ^= value >> np.uint64(31)
@@ -193,97 +206,128 @@ def _mark_rows(ids, ofs, owner, start):
     yield arrow(_MARKS, id=ids[owner[cut]], of=ofs[owner[cut]], lo=start[cut], hi=start[last] + LENGTH)
 
 
-def _spots(docs: DataFrame) -> DataFrame:
+def _local_repeats(h: np.ndarray, c: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a context repeats an earlier one of its slice byte by byte, and how many repeat it; order: by id, text and place."""
+    by = np.lexsort((order, c, h))
+    new = np.concatenate([[True], (h[by][1:] != h[by][:-1]) | (c[by][1:] != c[by][:-1])])
+    first = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    again, copies = np.zeros(len(h), bool), np.zeros(len(h), np.int32)
+    for k, f in zip(by[~new].tolist(), first[~new].tolist(), strict=True):
+        if raw[starts[k] : starts[k] + sizes[k]] == raw[starts[f] : starts[f] + sizes[f]]:
+            again[k] = True
+            copies[f] += 1
+    return again, copies
+
+
+def _spots(docs: DataFrame, bits: int) -> DataFrame:
+    """All anchors; deal is what they are dealt by: the anchor, or anything for repeats found at once."""
+    mask = np.uint64((1 << bits) - 1)
+
     def run(batches):
         for batch in batches:
             ids, ofs = id_column(batch, "id").to_numpy(), id_column(batch, "of").to_numpy()
-            for first, _, data, offsets in tv.slices(batch):
+            for first, _, data, offsets in tv.slices(batch, limit=SLICE):
                 value, _, lo, hi = anchors(data, offsets)
+                if not len(lo):
+                    continue
                 row = np.searchsorted(offsets, lo, "right") - 1
-                context = tv.span_hash(tv.prefix_hash(data), lo, hi + LENGTH)
-                yield arrow(_SPOTS, h=value.view(np.int64), c=context.view(np.int64), id=ids[first + row], of=ofs[first + row], lo=lo - offsets[row], width=hi - lo + 1)
+                h, c = value.view(np.int64), (tv.span_hash(tv.prefix_hash(data), lo, hi + LENGTH) & mask).view(np.int64)
+                own, of, at = ids[first + row], ofs[first + row], lo - offsets[row]
+                order = np.empty(len(h), np.int64)
+                order[np.lexsort((at, of, own))] = np.arange(len(h))
+                again, copies = _local_repeats(h, c, order, lo, hi - lo + LENGTH, data.tobytes())
+                # rows of one document that came twice are one: they go to the bucket, which knows them by id and place
+                twin = np.zeros(len(h), bool)
+                if len(set(zip(ids[first : first + len(offsets) - 1].tolist(), ofs[first : first + len(offsets) - 1].tolist(), strict=True))) < len(offsets) - 1:
+                    twin |= again
+                local = again & ~twin
+                deal = np.where(local, tv.mix((own ^ at).astype(np.uint64)).view(np.int64), h)
+                yield arrow(_SPOTS, deal=deal, local=local.astype(np.int32), h=h, c=c, id=own, of=of, lo=at, width=hi - lo + 1, copies=copies)
 
     return docs.mapInArrow(run, _SPOTS)
 
 
 def _found(spots: DataFrame) -> DataFrame:
-    """Rows of kind 0: contexts that occurred before; of kind 1: the first of each context of an anchor with several.
+    """LOCAL and AGAIN: contexts that occurred before; SORT: the first of each class of an anchor with several; FIRST: of an anchor with one class that has repeats.
 
     A stream over sorted rows that holds back one row, however large an anchor's group is.
     """
 
     def run(batches):
-        leader, later, sent = None, False, False  # the last leading row; whether its anchor had others before; whether it is out
+        leader, later, many, sent = None, False, False, False  # the last leading row; whether its anchor had others before; whether it has repeats; whether it is out
         for batch in batches:
-            if not len(batch):
-                continue
             cols = [c.to_numpy() for c in batch.columns]
+            own = cols[1] == 1
+            if own.any():
+                h, c, ids, ofs, lo, width = (x[own] for x in cols[2:8])
+                yield arrow(_FOUND, kind=np.full(len(h), LOCAL), h=h, c=c, id=ids, of=ofs, lo=lo, width=width)
+            cols = [x[~own] for x in cols[2:]]
+            if not len(cols[0]):
+                continue
             if leader is not None:
                 cols = [np.concatenate([[x], c]) for x, c in zip(leader, cols, strict=True)]
-            h, c, ids, ofs, lo, width = cols
+            h, c, ids, ofs, lo, width, copies = cols
             new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
             lead = np.flatnonzero(new)
-            own = lead[np.cumsum(new) - 1]
-            again = np.flatnonzero(~new & ~((ids == ids[own]) & (ofs == ofs[own]) & (lo == lo[own])))
+            group = np.cumsum(new) - 1
+            mine = lead[group]
+            again = np.flatnonzero(~new & ~((ids == ids[mine]) & (ofs == ofs[mine]) & (lo == lo[mine])))
+            repeated = np.bincount(group[again], minlength=len(lead)) > 0
+            repeated[0] |= many
             same = h[lead[1:]] == h[lead[:-1]]
             before, after = np.concatenate([[later], same]), np.concatenate([same, [False]])
-            out = before | after
-            out[0] &= not sent
-            rows = np.concatenate([again, lead[out]])
+            several = before | after
+            # the last leading row waits: whether its anchor has others is not known yet
+            out = several & np.concatenate([[not sent], np.ones(len(lead) - 1, bool)])
+            alone = repeated & ~several
+            alone[-1] = False
+            rows = np.concatenate([again, lead[out], lead[alone]])
             if len(rows):
-                yield arrow(_FOUND, kind=np.repeat(np.array([0, 1], np.int32), [len(again), len(rows) - len(again)]), h=h[rows], id=ids[rows], of=ofs[rows], lo=lo[rows], width=width[rows])
+                kind = np.repeat([AGAIN, SORT, FIRST], [len(again), int(out.sum()), int(alone.sum())])
+                yield arrow(_FOUND, kind=kind, h=h[rows], c=c[rows], id=ids[rows], of=ofs[rows], lo=lo[rows], width=width[rows])
             sent = bool(out[-1]) or (sent and len(lead) == 1)
-            leader, later = [x[lead[-1]] for x in cols], bool(before[-1])
+            leader, later, many = [x[lead[-1]] for x in cols], bool(before[-1]), bool(repeated[-1])
+        if leader is not None and many and not sent:
+            h, c, ids, ofs, lo, width, _ = leader
+            yield arrow(_FOUND, kind=[FIRST], h=[h], c=[c], id=[ids], of=[ofs], lo=[lo], width=[width])
 
-    return spots.repartition("h").sortWithinPartitions("h", "c", "id", "of", "lo").mapInArrow(run, _FOUND)
+    return spots.repartition("deal").sortWithinPartitions("h", "c", "id", "of", "lo").mapInArrow(run, _FOUND)
 
 
-def _contexts(joined: DataFrame) -> DataFrame:
-    """The bytes of wanted contexts of rows (id, of, text, spots); those of hot anchors string by string."""
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
 
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for i, of, text, spots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = text.encode()
-                for spot in spots:
-                    lo, width = spot["lo"], spot["width"]
-                    if not spot["hot"]:
-                        rows.append((spot["h"], i, of, lo, width, raw[lo : lo + width + LENGTH - 1]))
-                        continue
-                    data = np.frombuffer(raw[lo : lo + width + LENGTH - 1], np.uint8)
-                    at = np.arange(width)
-                    for k, h in enumerate(tv.span_hash(tv.prefix_hash(data), at, at + LENGTH).view(np.int64).tolist()):
-                        rows.append((h, i, of, lo + k, 1, raw[lo + k : lo + k + LENGTH]))
-                if len(rows) > 20_000:
-                    yield arrow(_CONTEXTS, **dict(zip(("h", "id", "of", "lo", "width", "bytes"), map(list, zip(*rows, strict=True)), strict=True)))
-                    rows = []
-            if rows:
-                yield arrow(_CONTEXTS, **dict(zip(("h", "id", "of", "lo", "width", "bytes"), map(list, zip(*rows, strict=True)), strict=True)))
 
-    return joined.select("id", "of", "text", "spots").mapInArrow(run, _CONTEXTS)
+def _bytes_of(joined: DataFrame) -> DataFrame:
+    """Of rows (id, of, text, spots): the bytes of contexts to be sorted, the digests of all, and of single strings of large buckets."""
 
+    def run(batches):
+        for batch in batches:
+            for i, of, text, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                raw = text.as_py().encode()
+                table = spots.values
+                kind, h, c, lo, width = (table.field(k).to_numpy(zero_copy_only=False) for k in ("kind", "h", "c", "lo", "width"))
+                contexts = [raw[a:b] for a, b in zip(lo.tolist(), (lo + width + LENGTH - 1).tolist(), strict=True)]
+                sort, many = np.flatnonzero(kind == SORT), np.flatnonzero(kind == STRING)
+                n = len(kind)
+                yield arrow(_BYTES, kind=np.full(n, FIRST), h=h, c=c, id=np.full(n, i), of=np.full(n, of), lo=lo, width=width, bytes=[_digest(x) for x in contexts])
+                if len(sort):
+                    yield arrow(_BYTES, kind=np.full(len(sort), SORT), h=h[sort], c=c[sort], id=np.full(len(sort), i), of=np.full(len(sort), of), lo=lo[sort], width=width[sort], bytes=[contexts[k] for k in sort.tolist()])
+                for k in many.tolist():
+                    w = int(width[k])
+                    yield arrow(_BYTES, kind=np.full(w, STRING), h=np.full(w, h[k]), c=np.full(w, c[k]), id=np.full(w, i), of=np.full(w, of), lo=lo[k] + np.arange(w), width=np.full(w, 1), bytes=[_digest(contexts[k][j : j + LENGTH]) for j in range(w)])
+
+    return joined.select("id", "of", "text", "spots").mapInArrow(run, _BYTES)
+
+
+def _sorted_marks(contexts: DataFrame, block: int) -> DataFrame:
+    """Marks of the strings that repeat an earlier one of their bucket; a bucket has HOT contexts at most."""
 
-def _sorted_marks(contexts: DataFrame) -> DataFrame:
     def solve(rows: pa.Table):
         rows = rows.sort_by([("h", "ascending"), ("id", "ascending"), ("of", "ascending"), ("lo", "ascending")])
-        h, ids, ofs, lo, widths = (rows.column(k).to_numpy() for k in ("h", "id", "of", "lo", "width"))
-        raw = rows.column("bytes").to_pylist()
-        # equal contexts: all strings of the later ones are repeats, and only the first is sorted
-        first: dict[bytes, int] = {}
-        leader = np.array([first.setdefault(x, k) for k, x in enumerate(raw)], np.int64)
-        same = np.arange(len(raw)) != leader
-        again = same & ~((ids == ids[leader]) & (ofs == ofs[leader]) & (lo == lo[leader]))
-        if again.any():
-            yield arrow(_MARKS, id=ids[again], of=ofs[again], lo=lo[again], hi=lo[again] + widths[again] + LENGTH - 1)
-        only = np.flatnonzero(~same)
-        bucket, many = np.unique(h[only], return_inverse=True)
-        only = only[np.bincount(many, minlength=len(bucket))[many] > 1]
-        if not len(only):
-            return
-        blob = b"".join(raw[k] for k in only.tolist())
-        ids, ofs, lo, widths = ids[only], ofs[only], lo[only].astype(np.int64), widths[only].astype(np.int64)
-        owner, start, _ = repeats(ids, ofs, lo, widths, np.frombuffer(blob, np.uint8), np.concatenate([[0], np.cumsum(widths + LENGTH - 1)]))
+        ids, ofs, lo, widths = (rows.column(k).to_numpy() for k in ("id", "of", "lo", "width"))
+        blob, widths = b"".join(rows.column("bytes").to_pylist()), widths.astype(np.int64)
+        owner, start, _ = repeats(ids, ofs, lo.astype(np.int64), widths, np.frombuffer(blob, np.uint8), np.concatenate([[0], np.cumsum(widths + LENGTH - 1)]))
         yield from _mark_rows(ids, ofs, owner, start)
 
     def run(batches):
@@ -291,9 +335,8 @@ def _sorted_marks(contexts: DataFrame) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            table = pa.Table.from_batches([batch])
-            held.append(table)
-            if sum(t.nbytes for t in held) > BLOCK:
+            held.append(pa.Table.from_batches([batch]))
+            if sum(t.nbytes for t in held) > block:
                 table = pa.concat_tables(held)
                 h = table.column("h").to_numpy()
                 cut = int(np.searchsorted(h, h[-1]))  # the last bucket may go on
@@ -306,6 +349,22 @@ def _sorted_marks(contexts: DataFrame) -> DataFrame:
     return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, _MARKS)
 
 
+def _string_marks(strings: DataFrame) -> DataFrame:
+    """Marks of single strings (id, of, lo, bytes: their digest) but the first of each digest."""
+    place = F.struct("id", "of", "lo")
+    firsts = strings.groupBy("bytes").agg(F.min(place).alias("first"))
+    later = strings.join(firsts, "bytes").where(place != F.col("first"))
+    return later.select("id", "of", "lo", (F.col("lo") + LENGTH).alias("hi"))
+
+
+def _with_bytes(own: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Bytes and digests of wanted contexts; those of anchors with more than HOT contexts to sort go string by string."""
+    hot = wanted.where(F.col("kind") == SORT).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
+    kind = F.when((F.col("kind") == SORT) & F.coalesce("hot", F.lit(False)), STRING).otherwise(F.col("kind"))
+    spots = wanted.join(hot, "h", "left").groupBy("id", "of").agg(F.collect_list(F.struct(kind.alias("kind"), "h", "c", "lo", "width")).alias("spots"))
+    return _bytes_of(own.join(spots, ["id", "of"]))
+
+
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -316,19 +375,35 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True) -> DataFrame:
-    """One row per document with counts, the digest of what stays and, if wanted, its bytes."""
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True, bits: int = 64, block: int = BLOCK) -> DataFrame:
+    """One row per document with counts, the digest of what stays and, if wanted, its bytes. bits: of the hash that makes classes of contexts; block: bytes that a sorting task holds."""
+    scratch = Scratch(docs.sparkSession)
     own = docs.select(docs[id_col].cast("long").alias("raw_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     # ids that are unique need no hash of the text beside them
     unique = own.groupBy("raw_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
     own = own.select("raw_id", F.coalesce("raw_id", F.lit(-(2**63))).alias("id"), (F.lit(0).cast("long") if unique else F.xxhash64("text")).alias("of"), "text")
-    found = persisted(_found(_spots(own.select("id", "of", "text"))), "found")
-    wanted = found.where("kind = 1")
-    hot = wanted.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
-    spots = wanted.join(hot, "h", "left").groupBy("id", "of").agg(F.collect_list(F.struct("h", "lo", "width", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spots"))
-    contexts = _contexts(own.join(spots, ["id", "of"]))
-    again = found.where("kind = 0").select("id", "of", "lo", (F.col("lo") + F.col("width") + LENGTH - 1).alias("hi"))
-    marks = persisted(_sorted_marks(contexts), "marks").unionByName(again)
+    once = own.select("id", "of", "text") if unique else own.select("id", "of", "text").distinct()
+    found = scratch.keep(_found(_spots(once, bits)), "found")
+    scratch.sweep()
+    bytes_ = scratch.keep(_with_bytes(once, found.where(F.col("kind") != LOCAL)), "bytes")
+    scratch.sweep()
+    digests = bytes_.where(F.col("kind") == FIRST).groupBy("h", "c").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b"))
+    mixed = scratch.keep(digests.where("a <> b").select("h").distinct(), "mixed")
+    again, sort, extra = found.where(F.col("kind").isin(LOCAL, AGAIN)), bytes_, []
+    if not mixed.isEmpty():
+        # different bytes under one hash: all members of these anchors' classes are sorted
+        everyone = found.where(F.col("kind") != LOCAL).join(mixed, "h", "left_semi").withColumn("kind", F.lit(SORT))
+        extra = [scratch.keep(_with_bytes(once, everyone), "mixed-bytes")]
+        again = again.join(mixed.withColumn("kind", F.lit(AGAIN)), ["h", "kind"], "left_anti")
+        sort = bytes_.join(mixed, "h", "left_anti")
+    again = again.select("id", "of", "lo", (F.col("lo") + F.col("width") + LENGTH - 1).alias("hi"))
+    marks = again
+    for rows in (sort, *extra):
+        contexts = rows.where(F.col("kind") == SORT).select("h", "id", "of", "lo", "width", "bytes")
+        marks = marks.unionByName(_sorted_marks(contexts, block)).unionByName(_string_marks(rows.where(F.col("kind") == STRING)))
+    marks = scratch.keep(marks, "marks")
+    scratch.drop(found, bytes_, mixed, *extra)
+    scratch.sweep()
     spans = marks.groupBy("id", "of").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
     def run(batches):
