@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
@@ -45,8 +46,10 @@ class Scratch:
 
     def sweep(self) -> None:
         """Lets Spark's cleaner delete the shuffle files of steps that are kept as tables and no longer referred to."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):  # what the first round lets go of is found by the second
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
 
     def drop(self, *frames: DataFrame | None) -> None:
         for df in frames:

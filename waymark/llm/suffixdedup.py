@@ -46,11 +46,14 @@ V, COVER = 31, (0, 1, 3, 8, 12, 18)
 DEPTH = LENGTH - V + 1
 BLOCK = 2 << 20
 _PLACE = np.uint64((1 << 30) - 1)
-#: Kinds of rows: found again (in its slice or its bucket), to be sorted, first of a class that nothing else is asked of, string of a large bucket.
-LOCAL, AGAIN, SORT, FIRST, STRING = range(5)
-_SPOTS = "deal long, local int, h long, c long, id long, of long, lo int, width int, copies int"
+#: Kinds of rows: found again in its slice or in its bucket; to be sorted; first of a class with repeats; both; a string of a large bucket.
+LOCAL, AGAIN, SORT, FIRST, BOTH, STRING = range(6)
+#: A negative width tells a repeat found in its slice, whose h is any number to deal it by.
+_SPOTS = "h long, c long, id long, of long, lo int, width int"
+#: c names a class for AGAIN, FIRST and BOTH, h an anchor for all but LOCAL and AGAIN; where they tell nothing they are zero.
 _FOUND = "kind int, h long, c long, id long, of long, lo int, width int"
-_BYTES = "kind int, h long, c long, id long, of long, lo int, width int, bytes binary"
+_BYTES = "kind int, h long, c long, id long, of long, lo int, width int, digest long, bytes binary"
+_NAMES = [x.split()[0] for x in _BYTES.split(", ")]
 _MARKS = "id long, of long, lo int, hi int"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
@@ -206,21 +209,19 @@ def _mark_rows(ids, ofs, owner, start):
     yield arrow(_MARKS, id=ids[owner[cut]], of=ofs[owner[cut]], lo=start[cut], hi=start[last] + LENGTH)
 
 
-def _local_repeats(h: np.ndarray, c: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Whether a context repeats an earlier one of its slice byte by byte, and how many repeat it; order: by id, text and place."""
+def _local_repeats(h: np.ndarray, c: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray, raw: bytes) -> np.ndarray:
+    """Whether a context repeats an earlier one of its slice byte by byte; order: by id, text and place."""
     by = np.lexsort((order, c, h))
     new = np.concatenate([[True], (h[by][1:] != h[by][:-1]) | (c[by][1:] != c[by][:-1])])
     first = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    again, copies = np.zeros(len(h), bool), np.zeros(len(h), np.int32)
+    again = np.zeros(len(h), bool)
     for k, f in zip(by[~new].tolist(), first[~new].tolist(), strict=True):
-        if raw[starts[k] : starts[k] + sizes[k]] == raw[starts[f] : starts[f] + sizes[f]]:
-            again[k] = True
-            copies[f] += 1
-    return again, copies
+        again[k] = raw[starts[k] : starts[k] + sizes[k]] == raw[starts[f] : starts[f] + sizes[f]]
+    return again
 
 
 def _spots(docs: DataFrame, bits: int) -> DataFrame:
-    """All anchors; deal is what they are dealt by: the anchor, or anything for repeats found at once."""
+    """All anchors of documents, each of which comes once."""
     mask = np.uint64((1 << bits) - 1)
 
     def run(batches):
@@ -235,87 +236,87 @@ def _spots(docs: DataFrame, bits: int) -> DataFrame:
                 own, of, at = ids[first + row], ofs[first + row], lo - offsets[row]
                 order = np.empty(len(h), np.int64)
                 order[np.lexsort((at, of, own))] = np.arange(len(h))
-                again, copies = _local_repeats(h, c, order, lo, hi - lo + LENGTH, data.tobytes())
-                # rows of one document that came twice are one: they go to the bucket, which knows them by id and place
-                twin = np.zeros(len(h), bool)
-                if len(set(zip(ids[first : first + len(offsets) - 1].tolist(), ofs[first : first + len(offsets) - 1].tolist(), strict=True))) < len(offsets) - 1:
-                    twin |= again
-                local = again & ~twin
+                local = _local_repeats(h, c, order, lo, hi - lo + LENGTH, data.tobytes())
                 deal = np.where(local, tv.mix((own ^ at).astype(np.uint64)).view(np.int64), h)
-                yield arrow(_SPOTS, deal=deal, local=local.astype(np.int32), h=h, c=c, id=own, of=of, lo=at, width=hi - lo + 1, copies=copies)
+                width = hi - lo + 1
+                yield arrow(_SPOTS, h=deal, c=np.where(local, 0, c), id=own, of=of, lo=at, width=np.where(local, -width, width))
 
     return docs.mapInArrow(run, _SPOTS)
 
 
 def _found(spots: DataFrame) -> DataFrame:
-    """LOCAL and AGAIN: contexts that occurred before; SORT: the first of each class of an anchor with several; FIRST: of an anchor with one class that has repeats.
+    """LOCAL and AGAIN: contexts that occurred before; SORT: the first of each class of an anchor with several; FIRST: of a class with repeats; BOTH: of such a class of an anchor with several.
 
     A stream over sorted rows that holds back one row, however large an anchor's group is.
     """
 
+    def rows_of(kind, h, c, ids, ofs, lo, width):
+        classed, anchored = np.isin(kind, (AGAIN, FIRST, BOTH)), np.isin(kind, (SORT, FIRST, BOTH))
+        key = tv.mix((h.view(np.uint64) * np.uint64(3)) ^ c.view(np.uint64)).view(np.int64)
+        return arrow(_FOUND, kind=kind, h=np.where(anchored, h, 0), c=np.where(classed, key, 0), id=ids, of=ofs, lo=lo, width=np.abs(width))
+
     def run(batches):
-        leader, later, many, sent = None, False, False, False  # the last leading row; whether its anchor had others before; whether it has repeats; whether it is out
+        # the last leading row waits until its class and its anchor are known to be over, or to have others
+        leader, before, many = None, False, False  # whether its anchor had classes before it, whether its class has repeats
         for batch in batches:
             cols = [c.to_numpy() for c in batch.columns]
-            own = cols[1] == 1
+            own = cols[5] < 0
             if own.any():
-                h, c, ids, ofs, lo, width = (x[own] for x in cols[2:8])
-                yield arrow(_FOUND, kind=np.full(len(h), LOCAL), h=h, c=c, id=ids, of=ofs, lo=lo, width=width)
-            cols = [x[~own] for x in cols[2:]]
+                yield rows_of(np.full(int(own.sum()), LOCAL), *(x[own] for x in cols))
+            cols = [x[~own] for x in cols]
             if not len(cols[0]):
                 continue
             if leader is not None:
                 cols = [np.concatenate([[x], c]) for x, c in zip(leader, cols, strict=True)]
-            h, c, ids, ofs, lo, width, copies = cols
+            h, c = cols[:2]
             new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
             lead = np.flatnonzero(new)
             group = np.cumsum(new) - 1
-            mine = lead[group]
-            again = np.flatnonzero(~new & ~((ids == ids[mine]) & (ofs == ofs[mine]) & (lo == lo[mine])))
+            again = np.flatnonzero(~new)
             repeated = np.bincount(group[again], minlength=len(lead)) > 0
             repeated[0] |= many
             same = h[lead[1:]] == h[lead[:-1]]
-            before, after = np.concatenate([[later], same]), np.concatenate([same, [False]])
-            several = before | after
-            # the last leading row waits: whether its anchor has others is not known yet
-            out = several & np.concatenate([[not sent], np.ones(len(lead) - 1, bool)])
-            alone = repeated & ~several
-            alone[-1] = False
-            rows = np.concatenate([again, lead[out], lead[alone]])
+            several = np.concatenate([[before], same]) | np.concatenate([same, [False]])
+            kind = np.where(several & repeated, BOTH, np.where(several, SORT, np.where(repeated, FIRST, -1)))[:-1]
+            rows = np.concatenate([again, lead[:-1][kind >= 0]])
             if len(rows):
-                kind = np.repeat([AGAIN, SORT, FIRST], [len(again), int(out.sum()), int(alone.sum())])
-                yield arrow(_FOUND, kind=kind, h=h[rows], c=c[rows], id=ids[rows], of=ofs[rows], lo=lo[rows], width=width[rows])
-            sent = bool(out[-1]) or (sent and len(lead) == 1)
-            leader, later, many = [x[lead[-1]] for x in cols], bool(before[-1]), bool(repeated[-1])
-        if leader is not None and many and not sent:
-            h, c, ids, ofs, lo, width, _ = leader
-            yield arrow(_FOUND, kind=[FIRST], h=[h], c=[c], id=[ids], of=[ofs], lo=[lo], width=[width])
+                yield rows_of(np.concatenate([np.full(len(again), AGAIN), kind[kind >= 0]]), *(x[rows] for x in cols))
+            leader, before, many = [x[lead[-1]] for x in cols], bool(several[-1]), bool(repeated[-1])
+        if leader is not None and (before or many):
+            yield rows_of(np.array([BOTH if before and many else SORT if before else FIRST]), *(np.array([x]) for x in leader))
 
-    return spots.repartition("deal").sortWithinPartitions("h", "c", "id", "of", "lo").mapInArrow(run, _FOUND)
+    return spots.repartition("h").sortWithinPartitions("h", "c", "id", "of", "lo").mapInArrow(run, _FOUND)
 
 
-def _digest(raw: bytes) -> bytes:
-    return hashlib.blake2b(raw, digest_size=16).digest()
+def _digest(raw: bytes, size: int) -> bytes:
+    return hashlib.blake2b(raw, digest_size=size).digest()
 
 
 def _bytes_of(joined: DataFrame) -> DataFrame:
-    """Of rows (id, of, text, spots): the bytes of contexts to be sorted, the digests of all, and of single strings of large buckets."""
+    """Of rows (id, of, text, spots): digests of classes' members (kind FIRST), bytes of contexts to be sorted (SORT), digests of single strings of large buckets (STRING)."""
 
     def run(batches):
         for batch in batches:
+            out: list[list] = [[] for _ in range(9)]
             for i, of, text, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                raw = text.as_py().encode()
-                table = spots.values
-                kind, h, c, lo, width = (table.field(k).to_numpy(zero_copy_only=False) for k in ("kind", "h", "c", "lo", "width"))
-                contexts = [raw[a:b] for a, b in zip(lo.tolist(), (lo + width + LENGTH - 1).tolist(), strict=True)]
-                sort, many = np.flatnonzero(kind == SORT), np.flatnonzero(kind == STRING)
-                n = len(kind)
-                yield arrow(_BYTES, kind=np.full(n, FIRST), h=h, c=c, id=np.full(n, i), of=np.full(n, of), lo=lo, width=width, bytes=[_digest(x) for x in contexts])
-                if len(sort):
-                    yield arrow(_BYTES, kind=np.full(len(sort), SORT), h=h[sort], c=c[sort], id=np.full(len(sort), i), of=np.full(len(sort), of), lo=lo[sort], width=width[sort], bytes=[contexts[k] for k in sort.tolist()])
-                for k in many.tolist():
-                    w = int(width[k])
-                    yield arrow(_BYTES, kind=np.full(w, STRING), h=np.full(w, h[k]), c=np.full(w, c[k]), id=np.full(w, i), of=np.full(w, of), lo=lo[k] + np.arange(w), width=np.full(w, 1), bytes=[_digest(contexts[k][j : j + LENGTH]) for j in range(w)])
+                raw, table = text.as_py().encode(), spots.values
+                for kind, h, c, lo, width in zip(*(table.field(k).to_pylist() for k in ("kind", "h", "c", "lo", "width")), strict=True):
+                    context = raw[lo : lo + width + LENGTH - 1]
+                    found = []
+                    if c:
+                        found.append((FIRST, 0, c, 0, 0, 0, 0, int.from_bytes(_digest(context, 8), "little", signed=True), None))
+                    if kind in (SORT, BOTH):
+                        found.append((SORT, h, 0, i, of, lo, width, 0, context))
+                    if kind == STRING:
+                        found += [(STRING, 0, 0, i, of, lo + j, 1, 0, _digest(context[j : j + LENGTH], 16)) for j in range(width)]
+                    for row in found:
+                        for column, x in zip(out, row, strict=True):
+                            column.append(x)
+                if len(out[0]) > 20_000:
+                    yield arrow(_BYTES, **dict(zip(_NAMES, out, strict=True)))
+                    out = [[] for _ in range(9)]
+            if out[0]:
+                yield arrow(_BYTES, **dict(zip(_NAMES, out, strict=True)))
 
     return joined.select("id", "of", "text", "spots").mapInArrow(run, _BYTES)
 
@@ -359,9 +360,11 @@ def _string_marks(strings: DataFrame) -> DataFrame:
 
 def _with_bytes(own: DataFrame, wanted: DataFrame) -> DataFrame:
     """Bytes and digests of wanted contexts; those of anchors with more than HOT contexts to sort go string by string."""
-    hot = wanted.where(F.col("kind") == SORT).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
-    kind = F.when((F.col("kind") == SORT) & F.coalesce("hot", F.lit(False)), STRING).otherwise(F.col("kind"))
-    spots = wanted.join(hot, "h", "left").groupBy("id", "of").agg(F.collect_list(F.struct(kind.alias("kind"), "h", "c", "lo", "width")).alias("spots"))
+    sort = F.col("kind").isin(SORT, BOTH)
+    hot = wanted.where(sort).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
+    kind = F.when(F.coalesce("hot", F.lit(False)), F.lit(STRING)).otherwise(F.col("kind"))
+    known = wanted.where(sort).join(hot, "h", "left").unionByName(wanted.where(~sort).withColumn("hot", F.lit(False)))
+    spots = known.groupBy("id", "of").agg(F.collect_list(F.struct(kind.alias("kind"), "h", "c", "lo", "width")).alias("spots"))
     return _bytes_of(own.join(spots, ["id", "of"]))
 
 
@@ -387,15 +390,18 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     scratch.sweep()
     bytes_ = scratch.keep(_with_bytes(once, found.where(F.col("kind") != LOCAL)), "bytes")
     scratch.sweep()
-    digests = bytes_.where(F.col("kind") == FIRST).groupBy("h", "c").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b"))
-    mixed = scratch.keep(digests.where("a <> b").select("h").distinct(), "mixed")
+    digests = bytes_.where(F.col("kind") == FIRST).groupBy("c").agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+    mixed = scratch.keep(digests.where("a <> b").select("c"), "mixed")
     again, sort, extra = found.where(F.col("kind").isin(LOCAL, AGAIN)), bytes_, []
     if not mixed.isEmpty():
-        # different bytes under one hash: all members of these anchors' classes are sorted
-        everyone = found.where(F.col("kind") != LOCAL).join(mixed, "h", "left_semi").withColumn("kind", F.lit(SORT))
+        # different bytes under one hash: all members of such classes are sorted, with the other contexts of their anchors
+        classes = found.where(F.col("kind").isin(FIRST, BOTH)).join(mixed, "c").select("c", "h").distinct()
+        members = found.where(F.col("kind") == AGAIN).drop("h").join(classes, "c").select("h", "id", "of", "lo", "width")
+        firsts = found.where(F.col("kind").isin(SORT, FIRST, BOTH)).join(classes.select("h").distinct(), "h", "left_semi").select("h", "id", "of", "lo", "width")
+        everyone = members.unionByName(firsts).select(F.lit(SORT).alias("kind"), "h", F.lit(0).cast("long").alias("c"), "id", "of", "lo", "width")
         extra = [scratch.keep(_with_bytes(once, everyone), "mixed-bytes")]
-        again = again.join(mixed.withColumn("kind", F.lit(AGAIN)), ["h", "kind"], "left_anti")
-        sort = bytes_.join(mixed, "h", "left_anti")
+        again = again.join(mixed, "c", "left_anti")
+        sort = bytes_.where(F.col("kind") != STRING).join(classes.select("h").distinct(), "h", "left_anti").unionByName(bytes_.where(F.col("kind") == STRING))
     again = again.select("id", "of", "lo", (F.col("lo") + F.col("width") + LENGTH - 1).alias("hi"))
     marks = again
     for rows in (sort, *extra):
