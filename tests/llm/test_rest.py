@@ -20,7 +20,7 @@ def test_warc_round_trip(spark):
     body = "<p>" + "é" * 60 + "</p>"
     rows = [(1, "http://a/1", body), (2, "http://a/2", body), (3, None, "short"), (4, "u\r\nx", "short"), (5, "http://b", None), (None, "http://n", body), (7, "http://c", "\r\n\r\nWARC/1.1\r\n" * 40), (7, "http://c", "\r\n\r\nWARC/1.1\r\n" * 40)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record", F.lit(1)).repartition(3)
-    records, members, index = warc.archive_pages(pages)
+    records, archives, index = warc.archive_pages(pages)
     got = sorted(((r.page_id if r.page_id is not None else -1), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, bytes(r.html)) for r in records.collect())
     want = []
     for i, _, html in rows:
@@ -28,14 +28,29 @@ def test_warc_round_trip(spark):
         again = html == body and i != 1
         want.append((i if i is not None else -1, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", 1 if again else None, b"" if again else raw))
     assert got == sorted(want, key=lambda x: x[:2])
-    assert "data" not in index.columns
-    for name in {r.archive for r in index.collect()}:
-        whole = b"".join(bytes(r.data) for r in members.where(F.col("archive") == name).orderBy("record").collect())
-        for r in index.where(F.col("archive") == name).collect():
-            assert warc.parse(gzip.decompress(whole[r.offset : r.offset + r.length]))["record_type"] in ("response", "revisit")
+    assert index.columns == ["archive", "record", "offset", "length"]
+    whole = {r.archive: bytes(r.data) for r in archives.collect()}
+    spots = index.orderBy("archive", "record").collect()
+    for name, data in whole.items():
+        own = [s for s in spots if s.archive == name]
+        assert [s.offset for s in own] == [0, *np.cumsum([s.length for s in own])[:-1].tolist()] and own[-1].offset + own[-1].length == len(data)
+    # archive, offset and length alone give the record
+    read = [warc.parse(gzip.decompress(whole[s.archive][s.offset : s.offset + s.length])) for s in spots]
+    assert sorted((r["page_id"] if r["page_id"] is not None else -1, r["record_type"]) for r in read) == sorted((i, kind) for i, _, _, kind, _, _ in got)
     assert warc.archive_pages(pages.where("false"))[0].count() == 0
 
 
+def test_record_longer_than_an_archive_and_damage(spark):
+    rows = [(k, None, str(k) * 3000) for k in range(6)]
+    planned = warc.plan_records(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    streams = warc.write_monolithic(planned, 1000)
+    archives = warc.normalise(streams)
+    assert archives.count() == 6
+    assert sorted((r.page_id, bytes(r.html).decode()) for r in warc.read_records(archives, warc.sidecar(archives)).collect()) == [(k, h) for k, _, h in rows]
+    with pytest.raises(ValueError):
+        warc.parse(warc.record(1, "u", b"abc", 3, hashlib.sha256(b"abd").hexdigest(), "response", None))
+
+
 def test_split_stream_reads_any_members():
     records = [warc.record(k, "u", bytes([k]) * k * 1000, k * 1000, "d", "response", None) for k in range(30)]
     streams = [gzip.compress(b"".join(records)), b"".join(map(gzip.compress, records)), gzip.compress(b"".join(records[:7])) + gzip.compress(b"".join(records[7:]))]

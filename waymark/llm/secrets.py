@@ -4,11 +4,15 @@ Candidates are runs of at least MIN_RUN characters of a token alphabet. Each is
 characters in it; a window of WINDOW characters slides over it, its character counts are kept by
 adding one character and taking away another, and sum(c * log2 c) changes with them, so each step
 costs two table look-ups. A candidate is a secret if a window's Shannon entropy reaches its class's
-limit and no allow rule (words, dates, ids, placeholders, one character over and over) covers it.
-Paths and URLs are judged part by part, and a candidate beside a fixed format by what is left of it.
+limit; what an allow rule covers (dates, ids, placeholders, one character over and over, ascending
+rows) is cut out first, so it suppresses the windows that touch it and not the rest of a candidate,
+and so are pieces that read like words. Paths and URLs are judged part by part, and a candidate
+beside a fixed format by what is left of it. MIN_RUN is the least length of a candidate: shorter
+keys are found by the fixed formats only.
 
 Defined cases: a null or empty text has no spans; a null id stays null; repeated rows are scanned
-one by one; all patterns run in time linear in the text.
+one by one; other columns, also such as are named like ours, are ignored; an empty table gives no
+rows; equal spans of several kinds are all reported; time is linear in the text, of any length.
 """
 
 from __future__ import annotations
@@ -32,7 +36,9 @@ MIN_RUN, WINDOW = 20, 20
 #: Least entropy in bits of a window of 20 characters, by class: (upper, lower, digit) present, or a symbol of base64.
 LIMITS = {"digits": 2.7, "hexadecimal": 3.1, "one_case": 3.3, "one_case_digits": 3.5, "two_cases": 3.6, "mixed": 3.6, "base64": 3.6}
 _LOG = [0.0] + [k * math.log2(k) for k in range(1, WINDOW + 1)]
-ALLOWED = [re.compile(p) for p in (r"https?:", r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", r"(?i)example|placeholder|changeme|your[-_]", r"(.)\1{5}", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", r"^[-_.=+/]+$")]
+ALLOWED = [re.compile(p) for p in (r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", r"(?i)example|placeholder|changeme|your[-_]", r"(.)\1{5,}", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", r"^[-_.=+/]+$")]
+#: Characters in a row that make an ascending one, such as 0123456 or abcdef.
+ASCENDING = 5
 _LETTERS = re.compile(r"[A-Za-z]+([-_./=+]+[A-Za-z]+)*[-_./=+]*")
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _PLAIN = re.compile(r"[A-Za-z]+([-_.][A-Za-z0-9]+)*|v?[0-9.]{1,4}")
@@ -93,10 +99,22 @@ def natural(s: str) -> bool:
     return sum(map(len, pieces)) >= 3 * len(pieces) and sum(x in _PAIRS for x in pairs) >= 0.7 * len(pairs)
 
 
+def _ascending(s: str) -> list[tuple[int, int]]:
+    """Spans of at least ASCENDING characters each of which follows the one before it."""
+    cuts = [0, *(k for k in range(1, len(s)) if ord(s[k]) != ord(s[k - 1]) + 1), len(s)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b - a >= ASCENDING]
+
+
 def _dense(s: str) -> bool:
-    if any(p.search(s) for p in ALLOWED) or _LETTERS.fullmatch(s) and natural(s):
-        return False
-    return window_entropy(s) >= LIMITS[char_class(s)]
+    """Whether a window outside the allowed spans reaches the limit of the class of its piece."""
+    covered = sorted([m.span() for p in ALLOWED for m in p.finditer(s)] + _ascending(s))
+    at = 0
+    for a, b in [*covered, (len(s), len(s))]:
+        piece = s[at:a]
+        if len(piece) >= WINDOW and not (_LETTERS.fullmatch(piece) and natural(piece)) and window_entropy(piece) >= LIMITS[char_class(piece)]:
+            return True
+        at = max(at, b)
+    return False
 
 
 def secret_parts(s: str) -> list[tuple[int, int]]:
@@ -121,12 +139,25 @@ def scan(text: str, hexes: list[tuple[int, int]], candidates: list[tuple[int, in
     if "AKIA" in text:
         base += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     base = sorted(base + [(a, 2, b) for a, b in hexes])
-    added = []
+    # what the base spans cover, as disjoint spans in order; candidates come in order too
+    covered: list[list[int]] = []
+    for x, _, y in base:
+        if covered and x <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], y)
+        else:
+            covered.append([x, y])
+    added, k = [], 0
     for a, b in candidates:
-        for x, y in [*sorted((x, y) for x, _, y in base if x < b and a < y), (b, b)]:
+        while k < len(covered) and covered[k][1] <= a:
+            k += 1
+        j = k
+        while True:
+            x, y = covered[j] if j < len(covered) and covered[j][0] < b else (b, b)
             if x - a >= MIN_RUN:
-                added += [(a + i, 3, a + j) for i, j in secret_parts(text[a:x])]
-            a = max(a, y)
+                added += [(a + i, 3, a + e) for i, e in secret_parts(text[a:x])]
+            a, j = max(a, y), j + 1
+            if x == b or a >= b:
+                break
     return base, added
 
 

@@ -13,7 +13,9 @@ whatever the benchmark's size), so the shuffle carries little but true matches.
 
 Defined cases: a null text or item has no tokens and matches nothing; an item shorter than a window
 is one window, looked for inside documents too if it has LEAST_WORDS tokens, and as a whole document
-if it has fewer; windows mostly of placeholders match by their exact values only; null ids are kept and documents are told apart by id and text; equal rows are one.
+if it has fewer; windows mostly of placeholders match by their exact values only; null ids are kept and documents are told apart by id and text; equal rows are one; of several alignments of a document and
+an item each is judged by itself and the windows of all sound ones count once; texts of any length
+are taken whole; an empty table gives no rows; other columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import arrow, id_column
+from .common import Scratch, arrow, id_column
 
 WINDOW, LEAST_WORDS, COVERAGE, BITS = 8, 4, 0.5, 1 << 22
 #: Fixed lists.
@@ -161,6 +163,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found = template_windows(_keyed(docs, id_col, text_col), _bit_map(items), sizes).distinct()
     theirs = items.select("w", "variant", F.col("size").alias("item_size"), F.col("id").alias("item_id"), F.col("of").alias("item_of"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("n_windows").alias("item_windows"))
     met = found.join(theirs, ["w", "variant"]).where("size = item_size").withColumn("shift", F.col("at") - F.col("item_at"))
+    met = Scratch(docs.sparkSession).keep(met, "met")  # both aggregates below read it, so the documents are scanned once
     line = ["id", "of", "variant", "item_id", "item_of", "item_windows", "shift"]
     pairs = met.select(*line, "item_at", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"))).alias("slot"))
     values = pairs.groupBy(*line, F.col("slot.theirs").alias("theirs")).agg((F.max("slot.ours") != F.min("slot.ours")).alias("clash"))

@@ -1,38 +1,43 @@
 """WARC archives: written as one gzip stream a file, normalised to one member a record, read by index.
 
-Archives are rows of binary chunks in Parquet tables of the shared folder, because executors share
-no local files and the store may be one that only Spark reads. `write_monolithic` makes files
-whose records sit in a single gzip stream, so no record can be reached without inflating all
-before it. `normalise` inflates each stream once, in steps of fixed size, finds the records as
-they pass, writes each as a gzip member of its own and notes (file, offset, length) in a sidecar
-index. `read_records` inflates single members by that index.
+Executors share no local files and the store may be one that only Spark reads, so an archive is one
+binary value of a table in the shared folder, of ARCHIVE bytes of records and one more at most.
+`write_monolithic` makes archives whose records sit in a single gzip stream, so no record can be
+reached without inflating all before it. `normalise` inflates each stream once, in steps of fixed
+size, finds the records as they pass and writes each as a gzip member of its own into a new archive.
+A sidecar index (archive, record, offset, length) is a table of its own. `read_records` takes a
+record's bytes by archive, offset and length alone, inflates that member, and computes the size
+and digest of every stored payload anew; a record that is not what its head says raises an error.
 
 Of pages with equal payloads of at least MIN_PAYLOAD bytes the one with the smallest id is stored
-and the others are revisit records without a payload.
+and the others are revisit records without a payload; rows of the smallest id are all stored.
 
 Defined cases: a null html is an empty payload; a null url an empty target; a null page id is
 kept and is never the one that others refer to unless all ids of that payload are null;
-repeated ids are written again; other columns are ignored.
+repeated ids are written again; a record longer than ARCHIVE has an archive of its own; an empty
+table gives no archives; other columns, also such as are named like ours, are ignored.
 """
 
 from __future__ import annotations
 
 import gzip
+import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, persisted
+from .common import Scratch, arrow
 
 MIN_PAYLOAD = 100
 #: Bytes of records after which a new archive begins; a larger record has one of its own.
 ARCHIVE = 4 << 20
 STEP = 256 << 10
 _STREAMS = "archive string, data binary"
-_MEMBERS = "archive string, record long, offset long, length long, data binary"
+_ARCHIVES = "archive string, data binary, offset array<long>, length array<long>"
 _RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, html binary"
 _LINE = b"\r\n"
 
@@ -52,7 +57,10 @@ def parse(raw: bytes) -> dict:
     fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
     number = lambda s: int(s[len("<urn:page:") : -1]) if len(s) > len("<urn:page:>") else None
     block = rest[: int(fields["Content-Length"])]
-    return {"page_id": number(fields["WARC-Record-ID"]), "payload_bytes": int(fields["WARC-Payload-Length"]), "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha256:"), "record_type": fields["WARC-Type"], "refers_to": number(fields["WARC-Refers-To"]) if "WARC-Refers-To" in fields else None, "url": fields["WARC-Target-URI"], "html": block}
+    size, digest = int(fields["WARC-Payload-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha256:")
+    if fields["WARC-Type"] == "response" and (size, digest) != (len(block), hashlib.sha256(block).hexdigest()):
+        raise ValueError(f"{fields['WARC-Record-ID']} is damaged")
+    return {"page_id": number(fields["WARC-Record-ID"]), "payload_bytes": size, "payload_digest": digest, "record_type": fields["WARC-Type"], "refers_to": number(fields["WARC-Refers-To"]) if "WARC-Refers-To" in fields else None, "url": fields["WARC-Target-URI"], "html": block}
 
 
 def plan_records(pages: DataFrame) -> DataFrame:
@@ -117,39 +125,47 @@ def split_stream(data: bytes) -> Iterator[bytes]:
 
 
 def normalise(streams: DataFrame) -> DataFrame:
-    """Rows (archive, record, offset, length, data): members in order; without data this is the index."""
+    """Rows (archive, data, offset, length): archives of one member a record, and where their records lie, in order."""
 
     def run(batches):
         for batch in batches:
             for name, data in zip(batch.column(0), batch.column(1), strict=True):
-                rows, offset = [], 0
-                for k, raw in enumerate(split_stream(data.as_py())):
-                    member = gzip.compress(raw, 6, mtime=0)
-                    rows.append((name.as_py(), k, offset, len(member), member))
-                    offset += len(member)
-                    if sum(x[3] for x in rows[-1:]) and len(rows) >= 256:
-                        yield arrow(_MEMBERS, **dict(zip(("archive", "record", "offset", "length", "data"), map(list, zip(*rows, strict=True)), strict=True)))
-                        rows = []
-                if rows:
-                    yield arrow(_MEMBERS, **dict(zip(("archive", "record", "offset", "length", "data"), map(list, zip(*rows, strict=True)), strict=True)))
+                members = [gzip.compress(raw, 6, mtime=0) for raw in split_stream(data.as_py())]
+                sizes = [len(m) for m in members]
+                yield arrow(_ARCHIVES, archive=[name.as_py()], data=[b"".join(members)], offset=[[0, *accumulate(sizes)][:-1]], length=[sizes])
 
-    return streams.mapInArrow(run, _MEMBERS)
+    return streams.mapInArrow(run, _ARCHIVES)
 
 
-def read_records(members: DataFrame) -> DataFrame:
-    """The records of single members, each inflated by itself."""
+def sidecar(archives: DataFrame) -> DataFrame:
+    """The index (archive, record, offset, length) of normalised archives."""
+    spots = F.arrays_zip("offset", "length")
+    return archives.select("archive", F.posexplode(spots).alias("record", "s")).select("archive", F.col("record").cast("long").alias("record"), "s.offset", "s.length")
+
+
+def read_records(archives: DataFrame, index: DataFrame) -> DataFrame:
+    """The records at the index's places, each inflated by itself from its archive (archive, data)."""
+    wanted = index.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("spots"))
 
     def run(batches):
         for batch in batches:
-            rows = [parse(gzip.decompress(x.as_py())) for x in batch.column(batch.schema.get_field_index("data"))]
-            if rows:
-                yield arrow(_RECORDS, **{k: [r[k] for r in rows] for k in rows[0]})
+            for data, spots in zip(batch.column(0), batch.column(1), strict=True):
+                whole = memoryview(data.as_buffer())
+                spots = spots.as_py()
+                for k in range(0, len(spots), 256):
+                    rows = [parse(gzip.decompress(whole[s["offset"] : s["offset"] + s["length"]])) for s in spots[k : k + 256]]
+                    yield arrow(_RECORDS, **{c: [r[c] for r in rows] for c in rows[0]})
 
-    return members.select("archive", "record", "offset", "length", "data").mapInArrow(run, _RECORDS)
+    return archives.join(wanted, "archive").select("data", "spots").mapInArrow(run, _RECORDS)
 
 
 def archive_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records read back, normalised members, sidecar index)."""
-    streams = persisted(write_monolithic(plan_records(pages)), "monolithic")
-    members = persisted(normalise(streams), "members")
-    return read_records(members), members, members.drop("data")
+    """(records read back, normalised archives, sidecar index); archives and index are tables of the shared folder."""
+    scratch = Scratch(pages.sparkSession)
+    streams = scratch.keep(write_monolithic(plan_records(pages)), "monolithic")
+    scratch.sweep()
+    archives = scratch.keep(normalise(streams), "archives")
+    index = scratch.keep(sidecar(archives.select("archive", "offset", "length")), "index")
+    scratch.drop(streams)
+    archives = archives.select("archive", "data")
+    return read_records(archives, index), archives, index
