@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 
+from tests.llm.conftest import prose
 from waymark.llm import gbdt, pii, quality, secrets
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -41,6 +42,52 @@ def test_pii_model_on_held_out_spans():
     assert y[taken].mean() > 0.95 and taken[y == 1].mean() > 0.9
 
 
+def test_pii_recall_on_planted_spans(documents):
+    """Whole documents by another generator than the trees were trained on: other sentences, other formats' mixes."""
+    r = random.Random(77)
+    d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    planted = [
+        ("phone_local", lambda: (x := f"{d(3)}-{d(3)}-{d(4)}", f"Please ring the office, the phone is {x}, before noon.")),
+        ("phone_local", lambda: (x := f"0{d(2)} {d(4)} {d(3)}", f"For bookings call {x} on weekdays.")),
+        ("national_id", lambda: (x := f"{d(3)}-{d(2)}-{d(4)}", f"The applicant gave {x} as social security number; see SSN {x}.")),
+        ("iban", lambda: (x := "DE" + f"{98 - int((b := d(18)) + '131400') % 97:02d}" + b, f"Transfer the rent to IBAN {x} by Friday.")),
+        ("email_spelled", lambda: (x := f"{r.choice('abcd')}nna.k (at) firma (dot) net", f"You may contact {x} with questions.")),
+    ]
+    fill = [prose(9000 + k, 30) for k in range(20)]
+    texts, want = [], []
+    for k in range(300):
+        kind, make = planted[k % len(planted)]
+        span, sentence = make()
+        lead = fill[k % 20] + ". "
+        texts.append(f"{lead}{sentence} {fill[(k + 7) % 20]}")
+        at = len(lead) + sentence.index(span)
+        want.append(f"{kind}:{at}:{at + len(span)}")
+    clean = [f"In {1900 + k} the library bought {d(2)} books for {d(3)} euros and {d(2)}.{d(1)} km of shelves. {fill[k % 20]}" for k in range(100)]
+    got = {row.doc_id: set(row.spans.split(",")) for row in pii.scan_pii(documents(texts + clean)).collect()}
+    assert sum(w in got[k] for k, w in enumerate(want)) >= 0.9 * len(want)
+    assert sum(got[len(texts) + k] == {""} for k in range(100)) >= 95
+
+
+def test_secrets_recall_and_time():
+    r = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for alphabet, least in ((letters + "0123456789", 0.95), (letters + "0123456789+/", 0.95), (letters, 0.9), (letters[26:] + "0123456789", 0.9), ("0123456789", 0.8)):
+        keys = ["".join(r.choice(alphabet) for _ in range(40)) for _ in range(300)]
+        assert sum(map(secrets.is_secret, keys)) >= least * len(keys)
+    key = "".join(r.choice(letters + "0123456789") for _ in range(32))
+    text = " ".join(f"{key} token=abcdef12" for _ in range(20_000))
+    step = len(key) + 16
+    base, added = secrets.scan(text, [], [(k * step, k * step + len(key)) for k in range(20_000)])
+    assert len(base) == len(added) == 20_000
+
+
+def test_pii_clashing_columns_and_long_texts(documents):
+    text = " ".join(f"call 091 2345 {k % 1000:03d}" for k in range(5000))
+    docs = documents([text, None, ""]).withColumnsRenamed({"lang": "spans", "source": "n_email", "n_chars": "n_hex"})
+    assert [r.n_added for r in pii.scan_pii(docs).orderBy("doc_id").collect()] == [5000, 0, 0]
+    assert secrets.scan_secrets(docs).count() == 3 and quality.quality_signals(docs).count() == 3
+
+
 def test_pii_added_spans():
     text = "please call 091 2345 678 or mail me at ana.b (at) mail (dot) org, IBAN DE89370400440532013000; order 123 456"
     found = {pii.KINDS[k]: text[a:b] for k, a, b in pii.added_spans(text, pii.base_spans(text), pii.model())}

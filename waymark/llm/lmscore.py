@@ -15,7 +15,8 @@ broadcast, held by the driver or capped.
 
 Defined cases: a null or empty text has no tokens and null losses; a null id or a document without
 a label counts for the background only; several labels for an id: the greatest counts; an empty
-corpus gives no rows; repeated rows count again; other columns are ignored. Rows of one id meet in
+corpus gives no rows; repeated rows count again; texts of any length are taken whole; other columns,
+also such as are named like ours, are ignored. Rows of one id meet in
 one bucket, those without an id are dealt by text.
 """
 
@@ -146,6 +147,12 @@ def _add(asked: pa.Table) -> pa.Table:
     return pa.Table.from_batches([arrow(_SUMS, bucket=asked.column("bucket").combine_chunks(), shard=asked.column("shard").combine_chunks(), **sums)])
 
 
+def _places(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where keys stand in a sorted array; each distinct key is looked for once, in order."""
+    distinct, back = np.unique(keys, return_inverse=True)
+    return np.searchsorted(known, distinct)[back]
+
+
 def _score(docs: pa.Table, sums: pa.Table, vocab: int) -> pa.Table:
     """Scores of a bucket's documents from the corpus counts of its keys."""
     out = [arrow(SCHEMA, doc_id=[], n_tokens=[], target_loss=[], background_loss=[], score=[])]
@@ -159,7 +166,7 @@ def _score(docs: pa.Table, sums: pa.Table, vocab: int) -> pa.Table:
     assert all(len(m) == len(known) for m in models)
     for doc, keys, bounds in parts:
         n = np.diff(bounds)
-        places = [np.searchsorted(known, key) for key in keys]
+        places = [_places(known, key) for key in keys]
         means = []
         for model in models:
             total = np.concatenate([[0.0], np.cumsum(losses(*(model[p] for p in places), vocab))])
