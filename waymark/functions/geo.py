@@ -25,7 +25,8 @@ def in_country(lat: Column, lng: Column) -> Column:
 
 def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lng2 - lng1) / 2), 2)
-    return 2 * EARTH_M * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    # least would take the 1 where a place is unknown; null stays null
+    return 2 * EARTH_M * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))
 
 
 def plane_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 # Letters and what they fold to. đ has no decomposition and is mapped like the rest.
 ACCENTED = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿĀāĂăĄąĆćČčĎďĐđĒēĘęĚěĞğĪīĹĺĽľŁłŃńŇňŌōŐőŔŕŘřŚśŞşŠšŢţŤťŪūŮůŰűŹźŻżŽž"
 PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyyAaAaAaCcCcDdDdEeEeEeGgIiLlLlLlNnNnOoOoRrRrSsSsSsTtTtUuUuUuZzZzZz"
-DENOMINATION_PREFIXES = ("rimokatolička", "grkokatolička", "pravoslavna", r"srpska\s+pravoslavna")
-TYPE_NOUNS = ("župa", "zupa", "crkva", "crkve", "kapela", "katedrala", "bazilika", "svetište", "svetiste", "samostan", "opatija", "hram", "džamija", "dzamija", "sinagoga", "poklonac", "pil")
-SAINT_FORMS = ("svetoga", "svetog", "svetom", "svetih", "svete", "sveti", "sveta", "sv", "st")
+# What is taken off the front of a name, and the saint's marks that are one.
+TYPE_PREFIX = (
+    r"^\s*(rimokatolička\s+|grkokatolička\s+|pravoslavna\s+|srpska\s+pravoslavna\s+)?"
+    r"(župa|zupa|crkva|crkve|kapela|katedrala|bazilika|svetište|svetiste|samostan|opatija|hram|džamija|dzamija|sinagoga|poklonac|pil)\b\.?\s*"
+)
+SAINT_FORMS = r"\b(sv\.?|svetog|svetoga|svete|sveti|sveta|svetom|svetih|st\.)\b\.?"
 UPPER_WORDS = ("BDM", "OFM", "OP", "SJ", "OSB", "OCD", "SDB", "HR", "RH")
 SMALL_WORDS = ("i", "u", "na", "od", "za", "sa", "s", "iz", "te", "ili")
 SAINT_ABBREVIATIONS = ("SV.", "SV", "BL.", "BL")
 
-PREFIX_PATTERN = rf"(?iU)^\s*(?:(?:{'|'.join(DENOMINATION_PREFIXES)})\s+)?(?:{'|'.join(TYPE_NOUNS)})\b\.?\s*"
+PREFIX_PATTERN = f"(?iU){TYPE_PREFIX}"
 
 
 def empty_to_null(c: Column) -> Column:
@@ -51,7 +54,7 @@ def slug(name: Column, place: Column | None = None, suffix: Column | None = None
 def norm_key(name: Column, place: Column | None = None) -> Column:
     """Comparison key: no type noun, one form of the saint's mark, words of [a-z0-9]."""
     base = F.lower(strip_diacritics(strip_type_prefix(name)))
-    base = F.regexp_replace(base, rf"\b(?:{'|'.join(SAINT_FORMS)})\b\.?", " sv ")
+    base = F.regexp_replace(base, SAINT_FORMS, " sv ")
     base = F.trim(F.regexp_replace(base, "[^a-z0-9]+", " "))
     if place is not None:
         base = F.trim(F.concat_ws(" ", base, empty_to_null(alnum_key(place))))

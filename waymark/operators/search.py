@@ -42,6 +42,10 @@ def _is_word(token: Column, word: str) -> Column:
     return F.startswith(token, F.lit(word[:-1])) if word.endswith("*") else token == word
 
 
+def _has_word(word: str) -> Column:
+    return F.exists("_words", lambda t: _is_word(t, word))
+
+
 def search_all(index: DataFrame, id_: str, query: str) -> DataFrame:
     """Ids of an index (id, token) with every word of the query; a word that ends in * is a beginning."""
     wanted = _words_of(index.sparkSession, query)
@@ -57,7 +61,7 @@ def search_rows(df: DataFrame, id_: str, columns: Sequence[str], query: str) ->
     wanted = _words_of(df.sparkSession, query)
     if not wanted:
         return df.select(id_).limit(0)
-    return df.select(id_, _tokens(columns).alias("_words")).where(reduce(and_, (F.exists("_words", lambda t, w=w: _is_word(t, w)) for w in wanted))).select(id_)
+    return df.select(id_, _tokens(columns).alias("_words")).where(reduce(and_, (_has_word(w) for w in wanted))).select(id_)
 
 
 def search_text(df: DataFrame, columns: Sequence[str], part: str) -> DataFrame:

@@ -124,8 +124,12 @@ def polygonize(relations: DataFrame) -> DataFrame:
 
 
 def agreement(places: DataFrame, assigned: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """(name, hit, total): of settlements whose centre lies in a boundary (name, rings), how many are assigned to it."""
-    numbered = boundaries.select(F.xxhash64("name").alias("idx"), "name", F.transform("rings", lambda r: F.array(r)).alias("polygons"))
+    """(name, hit, total): of settlements whose centre lies in a boundary, how many are assigned to it.
+
+    Boundaries are outlines (name, rings) or a layer (idx, name, polygons); of several that hold a centre the first counts.
+    """
+    outlines = "polygons" not in boundaries.columns
+    numbered = boundaries.select(F.xxhash64("name").alias("idx"), "name", F.transform("rings", lambda r: F.array(r)).alias("polygons")) if outlines else boundaries.select("idx", "name", "polygons")
     inside = spatial.contained(places.select(F.col("idx").alias("place"), "lat", "lng"), numbered, "place").join(numbered.select("idx", "name"), "idx")
     joined = inside.join(assigned.select(F.col("idx").alias("place"), "diocese"), "place", "left")
     return joined.groupBy("name").agg(F.count_if(F.col("diocese") == F.col("name")).alias("hit"), F.count("*").alias("total"))
