@@ -145,7 +145,8 @@ def sidecar(archives: DataFrame) -> DataFrame:
 
 def read_records(archives: DataFrame, index: DataFrame) -> DataFrame:
     """The records at the index's places, each inflated by itself from its archive (archive, data)."""
-    wanted = index.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("spots"))
+    # the index grows with the pages, so it is never broadcast
+    wanted = index.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("spots")).hint("shuffle_merge")
 
     def run(batches):
         for batch in batches:
