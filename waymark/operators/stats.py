@@ -19,9 +19,9 @@ def by_label(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
     return out if k is None else out.limit(k)
 
 
-def label_map(df: DataFrame, column: str) -> DataFrame:
-    """One row: a map from label to count. The labels are those of a closed vocabulary."""
-    return by_label(df, column).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias("counts"))
+def label_map(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
+    """One row: a map from label to count. The labels are those of a closed vocabulary, or the k most frequent."""
+    return by_label(df, column, k).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias("counts"))
 
 
 def without_children(parents: DataFrame, children: DataFrame, key: str, foreign: str, condition: Column | None = None) -> DataFrame:
