@@ -81,3 +81,6 @@ def test_stream_merges_each_record_once(spark, tmp_path):
     (landed / "2.json").write_text('{"id":1,"name":null,"city":"z","seq":3}\n{"id":3,"name":"d","seq":1}\n')
     assert run() == {1: ("b", "y"), 2: ("c", None), 3: ("d", None)}
     assert run() == {1: ("b", "y"), 2: ("c", None), 3: ("d", None)}
+    (landed / "3.json").write_text('{"id":4,"name":"e","seq":1}\n')
+    assert run() == {1: ("b", "y"), 2: ("c", None), 3: ("d", None), 4: ("e", None)}
+    assert sorted(p.name for p in table.iterdir()) == ["version=00000001", "version=00000002"]

@@ -24,13 +24,15 @@ def latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(found[-1]) if found else spark.createDataFrame([], schema)
 
 
-def merge_stream(records: DataFrame, path: str, schema: str, key: Sequence[str], order: str, checkpoint: str, policies: Mapping[str, str] | None = None, default: str = LATEST) -> StreamingQuery:
+def merge_stream(records: DataFrame, path: str, schema: str, key: Sequence[str], order: str, checkpoint: str, policies: Mapping[str, str] | None = None, default: str = LATEST, kept: int = 2) -> StreamingQuery:
     """Merges each micro-batch into the next version of the table at path.
 
     Of several records with one key in a batch the last by `order` counts. A batch that is run again
     after a failure writes the version of its own number again from the version before it, so every
-    record counts once.
+    record counts once. The last `kept` versions stay, two at least: that of the batch and the one
+    it came from.
     """
+    kept = max(kept, 2)
     place = versions(path)
 
     def step(batch: DataFrame, number: int) -> None:
@@ -39,6 +41,9 @@ def merge_stream(records: DataFrame, path: str, schema: str, key: Sequence[str],
         new = batch.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", *([] if order in spark.createDataFrame([], schema).columns else [order]))
         old = spark.read.schema(schema).parquet(place(number - 1)) if number else spark.createDataFrame([], schema)
         merge(old, new, key, policies, default).select(*old.columns).write.mode("overwrite").parquet(place(number))
+        if number >= kept:
+            stale = spark._jvm.org.apache.hadoop.fs.Path(place(number - kept))
+            stale.getFileSystem(spark._jsc.hadoopConfiguration()).delete(stale, True)
 
     return records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
