@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, linededup, lmscore, packing, pii, quality, secrets, suffixdedup, templates, warc
+from . import jaccard, linededup, lmscore, merkle, packing, pii, quality, secrets, suffixdedup, templates, warc
 from .common import table
 
 
@@ -63,13 +63,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("row.doc_id").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_chunks_removed"), gone.alias("n_lines_removed"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(_docs(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_packing, op3_ngram_jaccard, op4_decontamination, op5_warc, op6_suffix_dedup, op7_secrets, op8_lm_scoring, op9_quality, op10_line_dedup, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_packing, op3_ngram_jaccard, op4_decontamination, op5_warc, op6_suffix_dedup, op7_secrets, op8_lm_scoring, op9_quality, op10_line_dedup, op12_merkle_manifest, pipeline)}
 
 #: A payload is the html in UTF-8; records are read back as they were written.
 _WARC_SQL = """
@@ -95,4 +99,33 @@ o as (select doc_id, sum(n)::bigint as n_lines, count(*) filter (where counts an
 select doc_id, n_lines, n_chunks_removed::bigint as n_chunks_removed, n_lines_removed, sha256(kept) as kept_sha256 from o
 """
 
-ORACLE = {"op5_warc": _WARC_SQL, "op10_line_dedup": _LINES_SQL}
+_field = "coalesce(octet_length(encode({0}::varchar)) || ':' || {0}::varchar, '-')".format
+
+#: The checksum is worked out bit by bit (3988292384 is its reversed polynomial), as SQL has no function for it.
+_MERKLE_SQL = f"""
+with recursive d as (select doc_id, lang, {" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} as head, text,
+    list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, b: case when b >= 0 then xor(a, b) when a & 1 = 1 then xor(a >> 1, 3988292384::bigint) else a >> 1 end) as crc from documents),
+h as (select doc_id, lang, sha256(head || {_field("text")}) as leaf, case when xor(crc, 4294967295::bigint) % 3 = 0 then sha256(head || {_field("translate(text, '" + merkle.UPPER + "', '" + merkle.UPPER.lower() + "')")}) end as changed from d),
+leaves as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by lang) as size, dense_rank() over (order by lang nulls first) - 1 as tree from h),
+n_trees as (select count(distinct tree) as n from leaves),
+below as (select tree, 0 as level, idx, size, leaf as hash from leaves
+  union all select tree, level + 1, idx // 8, any_value((size + 7) // 8), sha256(string_agg(hash, '' order by idx)) from below where size > 1 group by tree, level, idx // 8),
+subroots as (select tree, hash as subroot from below where size = 1),
+above as (select -1::bigint as tree, 0 as level, tree as idx, n as size, subroot as hash from subroots, n_trees
+  union all select tree, level + 1, idx // 8, any_value((size + 7) // 8), sha256(string_agg(hash, '' order by idx)) from above where size > 1 group by tree, level, idx // 8),
+nodes as (select * from below union all select * from above),
+asked as (select tree as of_tree, idx as of_idx, tree, idx, size, 0 as base from leaves union all select tree, idx, -1, tree, n, 64 from leaves, n_trees),
+levels as (select *, unnest(range(0, 20)) as level from asked),
+steps as (select of_tree, of_idx, base + l.level as rung, coalesce(string_agg(n.hash, '' order by n.idx) filter (n.idx < l.idx // (8 ** l.level)::bigint), '') as a,
+    coalesce(string_agg(n.hash, '' order by n.idx) filter (n.idx > l.idx // (8 ** l.level)::bigint), '') as b
+  from levels l join nodes n on n.tree = l.tree and n.level = l.level and n.idx // 8 = l.idx // (8 ** (l.level + 1))::bigint where l.size > 8 ** l.level group by all),
+proofs as (select of_tree, of_idx, string_agg(a || b, '' order by rung) as proof, list(a || ',' || b order by rung) as sides from steps group by all),
+root as (select hash as root from above where size = 1),
+folded as (select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as proof_sha256,
+    list_reduce(list_prepend(coalesce(changed, leaf), coalesce(sides, [])), lambda x, s: sha256(string_split(s, ',')[1] || x || string_split(s, ',')[2])) as folded_root
+  from leaves join subroots using (tree) cross join root left join proofs on of_tree = leaves.tree and of_idx = leaves.idx)
+select *, folded_root = root as verified from folded
+"""
+
+ORACLE = {"op5_warc": _WARC_SQL, "op10_line_dedup": _LINES_SQL, "op12_merkle_manifest": _MERKLE_SQL}
