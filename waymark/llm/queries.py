@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, linededup, lmscore, merkle, packing, pii, quality, secrets, suffixdedup, templates, warc
+from . import bpe, jaccard, linededup, lmscore, merkle, packing, pii, quality, secrets, suffixdedup, templates, warc
 from .common import table
 
 
@@ -63,6 +63,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("row.doc_id").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_chunks_removed"), gone.alias("n_lines_removed"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_tokenization_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    return bpe.digests(bpe.decode_documents(bpe.encode_documents(_docs(spark, sf_dir), path), path))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(_docs(spark, sf_dir))
 
@@ -73,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_packing, op3_ngram_jaccard, op4_decontamination, op5_warc, op6_suffix_dedup, op7_secrets, op8_lm_scoring, op9_quality, op10_line_dedup, op12_merkle_manifest, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_packing, op3_ngram_jaccard, op4_decontamination, op5_warc, op6_suffix_dedup, op7_secrets, op8_lm_scoring, op9_quality, op10_line_dedup, op11_tokenization_automaton, op12_merkle_manifest, pipeline)}
 
 #: A payload is the html in UTF-8; records are read back as they were written.
 _WARC_SQL = """
