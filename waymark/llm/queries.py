@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, linededup, lmscore, merkle, packing, pii, quality, secrets, suffixdedup, templates, warc
+from . import bpe, jaccard, linededup, lmscore, merkle, packing, pii, quality, ranked, secrets, suffixdedup, templates, warc
 from .common import table
 
 
@@ -72,13 +72,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(_docs(spark, sf_dir))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_packing, op3_ngram_jaccard, op4_decontamination, op5_warc, op6_suffix_dedup, op7_secrets, op8_lm_scoring, op9_quality, op10_line_dedup, op11_tokenization_automaton, op12_merkle_manifest, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_packing, op3_ngram_jaccard, op4_decontamination, op5_warc, op6_suffix_dedup, op7_secrets, op8_lm_scoring, op9_quality, op10_line_dedup, op11_tokenization_automaton, op12_merkle_manifest, op13_ranked_search, pipeline)}
 
 #: A payload is the html in UTF-8; records are read back as they were written.
 _WARC_SQL = """
@@ -133,4 +137,14 @@ folded as (select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as pr
 select *, folded_root = root as verified from folded
 """
 
-ORACLE = {"op5_warc": _WARC_SQL, "op10_line_dedup": _LINES_SQL, "op12_merkle_manifest": _MERKLE_SQL}
+_terms = ("regexp_extract_all(translate({0}, '" + merkle.UPPER + "', '" + merkle.UPPER.lower() + r"'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')").format
+_SEARCH_SQL = f"""
+with d as (select doc_id, {_terms("text")} as terms from documents), s as (select count(*) filter (len(terms) > 0) as docs, sum(len(terms))::bigint as length from d),
+p as (select doc_id, len(terms)::bigint as n, unnest(terms) as term from d), c as (select doc_id, n, term, count(*)::bigint as tf from p group by all),
+w as (select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w from c, s group by term),
+i as (select distinct item_id, unnest({_terms("text")}) as term from benchmark),
+f as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::bigint as score from i join w using (term) join c using (term), s group by all)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from f where score > 0 qualify rank <= 50
+"""
+
+ORACLE = {"op5_warc": _WARC_SQL, "op10_line_dedup": _LINES_SQL, "op12_merkle_manifest": _MERKLE_SQL, "op13_ranked_search": _SEARCH_SQL}
