@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..sources import sinks
 from . import search, stats
+from .numbering import numbered
 
 # Kinds of legal persons that have pages, and the path segment of each.
 ROUTES = {"zupa": "zupa", "samostan": "ustanova", "crkvena-opcina": "ustanova", "svetiste": "ustanova", "parohija": "ustanova", "dzemat": "ustanova"}
@@ -81,10 +82,10 @@ def in_order(df: DataFrame, export: str) -> DataFrame:
 
 
 def ranked_dioceses(dioceses: DataFrame) -> DataFrame:
-    """Dioceses with a territory by its parishes, then the others by theirs, most first; unknown numbers count as none, ties by name."""
+    """Adds place: dioceses with a territory by its parishes, then the others by theirs, most first; unknown numbers count as none, ties by name."""
     area = F.coalesce(F.col("has_area") == 1, F.lit(False))
     n = F.coalesce(F.when(area, F.col("area_parish_count")).otherwise(F.col("parish_count")), F.lit(0))
-    return dioceses.orderBy(area.desc(), n.desc(), "name")
+    return numbered(dioceses, [area.desc(), n.desc(), "name"])
 
 
 def _address(df: DataFrame) -> Column:

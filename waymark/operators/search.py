@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text
+from ..functions.binding import let
+from .numbering import numbered
 
 # The index folds accents but keeps đ, the browse search folds it too.
 _KEPT = "đĐ"
@@ -42,8 +43,8 @@ def _is_word(token: Column, word: str) -> Column:
     return F.startswith(token, F.lit(word[:-1])) if word.endswith("*") else token == word
 
 
-def _has_word(word: str) -> Column:
-    return F.exists("_words", lambda t: _is_word(t, word))
+def _is_begun(word: str) -> Callable[[Column], Column]:
+    return lambda token: _is_word(token, word)
 
 
 def search_all(index: DataFrame, id_: str, query: str) -> DataFrame:
@@ -61,7 +62,13 @@ def search_rows(df: DataFrame, id_: str, columns: Sequence[str], query: str) ->
     wanted = _words_of(df.sparkSession, query)
     if not wanted:
         return df.select(id_).limit(0)
-    return df.select(id_, _tokens(columns).alias("_words")).where(reduce(and_, (_has_word(w) for w in wanted))).select(id_)
+    whole, begun = [w for w in wanted if not w.endswith("*")], [w for w in wanted if w.endswith("*")]
+
+    def has_all(words: Column) -> Column:
+        tests = [F.size(F.array_intersect(words, F.array(*map(F.lit, whole)))) == len(whole)] if whole else []
+        return reduce(and_, [*tests, *(F.exists(words, _is_begun(w)) for w in begun)])
+
+    return df.where(let(_tokens(columns), has_all)).select(id_)
 
 
 def search_text(df: DataFrame, columns: Sequence[str], part: str) -> DataFrame:
@@ -83,11 +90,8 @@ def page(df: DataFrame, order: Sequence[Column | str], number: int, size: int =
 
 
 def ranked_pages(df: DataFrame, order: Sequence[Column | str], group: str | None = None) -> DataFrame:
-    """The rows with their place in the order. Without a group they are sorted by ranges and numbered by the counts of the ranges before, in no single task."""
-    if group:
-        return df.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    numbered = df.orderBy(*order).rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + 1))
-    return df.sparkSession.createDataFrame(numbered, T.StructType([*df.schema.fields, T.StructField("place", T.IntegerType(), False)]))
+    """The rows with their place in the order, within the group if one is named; numbered by ranges and prefix sums, in no single task."""
+    return numbered(df, order, [group] if group else [])
 
 
 def locale_order(c: Column, locale: str = "hr") -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import geo, text
 
 POLYGON_CELL, POINT_CELL = 0.1, 0.01
+#: Points that one key of a cell takes; a cell with more is split.
+DENSE = 20_000
 
 
 def _met(left: DataFrame, right: DataFrame, degrees: float, prefix: str, also: tuple[str, ...] = ()) -> DataFrame:
@@ -40,17 +42,38 @@ def nearest_within(left: DataFrame, right: DataFrame, left_id: str, right_id: st
 def contained(points: DataFrame, layer: DataFrame, point_id: str, feature: str = "idx", polygons: str = "polygons", cell: float = POLYGON_CELL) -> DataFrame:
     """(point_id, feature) of the first feature, by its number, that holds each point.
 
-    Features are listed in the cells of their bounding boxes; points meet those of their cell, then
-    the box, then the rings are tested.
+    A feature is listed at the level of the grid whose cells are as wide as its bounding box (each level
+    doubles them), so it has four cells at most, however large it is; points ask the levels that occur.
+    Cells with many points are split by a count: their points are dealt to several keys, and the features
+    listed there are repeated for each. Points meet the features of their cell, then the box, and then only
+    those sides that pass their height: sides are listed by bands of their feature's height.
     """
     flat = F.flatten(F.flatten(polygons))
     xs, ys = F.transform(flat, lambda p: p[0]), F.transform(flat, lambda p: p[1])
-    boxed = layer.select(feature, F.col(polygons).alias("_polygons"), F.array_min(xs).alias("_w"), F.array_max(xs).alias("_e"), F.array_min(ys).alias("_s"), F.array_max(ys).alias("_n"))
-    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
+    boxed = layer.select(feature, F.array_min(xs).alias("_w"), F.array_max(xs).alias("_e"), F.array_min(ys).alias("_s"), F.array_max(ys).alias("_n"), F.least(F.ceil(F.size(flat) / 16), F.lit(64)).alias("_bands")).where("_w is not null")
+    wide = F.greatest(F.col("_e") - F.col("_w"), F.col("_n") - F.col("_s"), F.lit(cell))
+    boxed = boxed.withColumn("_level", F.ceil(F.log2(wide / cell)).cast("int"))
+    levels = [r._level for r in boxed.select("_level").distinct().collect()]  # a dozen at most
+    if not levels:
+        return points.select(point_id, F.lit(None).cast(layer.schema[feature].dataType).alias(feature)).limit(0)
+    width = F.pow(F.lit(2.0), F.col("_level")) * cell
+    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))
     listed = boxed.withColumn("_cx", F.explode(span("_w", "_e"))).withColumn("_cy", F.explode(span("_s", "_n")))
-    asked = points.where("lat is not null and lng is not null").select(point_id, "lat", "lng", F.floor(F.col("lng") / cell).alias("_cx"), F.floor(F.col("lat") / cell).alias("_cy"))
-    met = asked.join(listed, ["_cx", "_cy"]).where("lng between _w and _e and lat between _s and _n")
-    return met.where(geo.in_polygons(F.col("lng"), F.col("lat"), F.col("_polygons"))).groupBy(point_id).agg(F.min(feature).alias(feature))
+    known = points.where("lat is not null and lng is not null").select(point_id, "lat", "lng")
+    asked = known.withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).withColumn("_cx", F.floor(F.col("lng") / width)).withColumn("_cy", F.floor(F.col("lat") / width))
+    cells = ["_level", "_cx", "_cy"]
+    dense = asked.groupBy(*cells).count().where(F.col("count") > DENSE).select(*cells, F.ceil(F.col("count") / DENSE).cast("int").alias("_parts"))
+    parts = F.coalesce("_parts", F.lit(1))
+    split = asked.join(dense, cells, "left").withColumn("_part", F.pmod(F.xxhash64(point_id), parts).cast("int")).drop("_parts")
+    repeated = listed.join(dense, cells, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    met = split.join(repeated, [*cells, "_part"]).where("lng between _w and _e and lat between _s and _n")
+    band = lambda y: F.least(F.floor((y - F.col("_s")) / F.nullif(F.col("_n") - F.col("_s"), F.lit(0.0)) * F.col("_bands")), F.col("_bands") - 1)
+    sides = geo.edges(layer, feature, polygons).where("y1 <> y2").join(boxed.select(feature, "_s", "_n", "_bands"), feature)
+    sides = sides.withColumn("_band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
+    listed_sides = sides.groupBy(feature, "_band", "part").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_sides"))
+    tried = met.withColumn("_band", band(F.col("lat"))).join(listed_sides, [feature, "_band"])
+    crossed = F.size(F.filter("_sides", lambda s: F.coalesce(geo.crosses(F.col("lng"), F.col("lat"), s["x1"], s["y1"], s["x2"], s["y2"]), F.lit(False))))
+    return tried.where(crossed % 2 == 1).groupBy(point_id).agg(F.min(feature).alias(feature))
 
 
 def locate(points: DataFrame, settlements: DataFrame, municipalities: DataFrame, point_id: str) -> DataFrame:

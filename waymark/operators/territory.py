@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import geo
-from . import spatial
+from . import outlines, spatial
 
 SIMPLIFY_DEGREES = 0.0008
 RINGS = "array<array<array<double>>>"
@@ -69,45 +69,15 @@ def stitch(sides: np.ndarray) -> list[list[tuple[float, float]]]:
     return rings
 
 
-def simplify(ring: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """Douglas and Peucker's choice of points of a closed ring, from its least point on, which is always a corner."""
-    first = ring.index(min(ring))
-    ring = [*ring[first:], *ring[:first]]
-    pts = np.asarray([*ring, ring[0]], float)
-    keep = np.zeros(len(pts), bool)
-    far = int(np.argmax(((pts - pts[0]) ** 2).sum(1)))
-    keep[[0, far, -1]] = True
-    stack = [(0, far), (far, len(pts) - 1)]
-    while stack:
-        a, b = stack.pop()
-        if b - a < 2:
-            continue
-        d, inner = pts[b] - pts[a], pts[a + 1 : b] - pts[a]
-        length = float(np.hypot(*d))
-        away = np.hypot(*inner.T) if length == 0 else np.abs(d[0] * inner[:, 1] - d[1] * inner[:, 0]) / length
-        k = int(away.argmax())
-        if away[k] > tolerance:
-            keep[a + 1 + k] = True
-            stack += [(a, a + 1 + k), (a + 1 + k, b)]
-    out = [tuple(p) for p in pts[keep][:-1]]
-    return out if len(out) > 2 else ring
-
-
 def dissolve(layer: DataFrame, key: str, group: str, tolerance: float = SIMPLIFY_DEGREES) -> DataFrame:
-    """(group, rings, square_degrees): outlines of each group's union, from borders that match point by point.
+    """(group, polygons, rings, square_degrees): each group's union with its holes, from borders that match point by point.
 
-    Cancelling shared sides is an aggregate; only a group's outline, not its area, is stitched in one task.
+    Neighbours' outlines agree (see outlines). rings are all rings of the polygons, outer ones and holes.
     The area is the sum of the parts', so simplifying does not change it.
     """
-
-    def rings(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = [[list(p) for p in simplify(r, tolerance)] for r in stitch(pdf[["x1", "y1", "x2", "y2"]].to_numpy())]
-        return pd.DataFrame({group: [pdf[group].iloc[0]], "rings": [out]})
-
-    outlines = border(layer, key, group).groupBy(group).applyInPandas(rings, f"{group} string, rings {RINGS}")
     part = F.aggregate("polygons", F.lit(0.0), lambda s, p: s + geo.ring_area(F.get(p, F.lit(0))) - F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.lit(0.0), lambda t, h: t + geo.ring_area(h)))
-    areas = layer.groupBy(group).agg(F.sum(part).alias("square_degrees"))
-    return outlines.join(areas, group)
+    areas = layer.groupBy(F.col(group).cast("string").alias(group)).agg(F.sum(part).alias("square_degrees"))
+    return outlines.outlines(layer, key, group, tolerance).withColumn("rings", F.flatten("polygons")).join(areas, group)
 
 
 def polygonize(relations: DataFrame) -> DataFrame:
@@ -126,10 +96,10 @@ def polygonize(relations: DataFrame) -> DataFrame:
 def agreement(places: DataFrame, assigned: DataFrame, boundaries: DataFrame) -> DataFrame:
     """(name, hit, total): of settlements whose centre lies in a boundary, how many are assigned to it.
 
-    Boundaries are outlines (name, rings) or a layer (idx, name, polygons); of several that hold a centre the first counts.
+    Boundaries have a name and polygons, whose holes are outside, or rings that are areas each, and may have a number idx; of several that hold a centre the first counts.
     """
-    outlines = "polygons" not in boundaries.columns
-    numbered = boundaries.select(F.xxhash64("name").alias("idx"), "name", F.transform("rings", lambda r: F.array(r)).alias("polygons")) if outlines else boundaries.select("idx", "name", "polygons")
+    shape = F.col("polygons") if "polygons" in boundaries.columns else F.transform("rings", lambda r: F.array(r))
+    numbered = boundaries.select(F.col("idx") if "idx" in boundaries.columns else F.xxhash64("name").alias("idx"), "name", shape.alias("polygons"))
     inside = spatial.contained(places.select(F.col("idx").alias("place"), "lat", "lng"), numbered, "place").join(numbered.select("idx", "name"), "idx")
     joined = inside.join(assigned.select(F.col("idx").alias("place"), "diocese"), "place", "left")
     return joined.groupBy("name").agg(F.count_if(F.col("diocese") == F.col("name")).alias("hit"), F.count("*").alias("total"))

@@ -639,10 +639,10 @@ def detail(t: Tables) -> DataFrame:
     return docs.select("s_suppkey", F.size("items").cast("bigint").alias("n_children"), F.array_join(F.transform("items", lambda i: i["k"]), ",").alias("children"))
 
 
-@query()
+@query("select word, row_number() over (order by word collate hr, word) as place from (select distinct unnest(string_split(text, ' ')) as word from documents)")
 def locale_order(t: Tables) -> DataFrame:
     words = t.documents.select(F.explode(F.split("text", " ")).alias("word")).distinct()
-    return search.ranked_pages(words, [search.locale_order(F.col("word"))])
+    return search.ranked_pages(words, [search.locale_order(F.col("word")), "word"])
 
 
 # --- matching ---

@@ -77,8 +77,7 @@ def manifest_counts(t: Tables) -> DataFrame:
 
 @query("""with n as (select n_name as name, n_nationkey % 4 = 0 as area, case when n_nationkey % 4 = 0 then case when n_nationkey % 8 = 0 then 0 else n_nationkey * 7 % 10 end else n_nationkey * 3 % 11 end as n from nation) select name, row_number() over (order by area desc, n desc, name)::bigint as place from n""")
 def diocese_ranks(t: Tables) -> DataFrame:
-    ordered = publish.ranked_dioceses(_dioceses(t)).select("name").rdd.zipWithIndex().map(lambda x: (x[0][0], x[1] + 1))
-    return t.spark.createDataFrame(ordered, "name string, place bigint")
+    return publish.ranked_dioceses(_dioceses(t)).select("name", "place")
 
 
 @query("select n_name as name from nation where (n_nationkey % 2 = 0 or n_nationkey % 3 = 0) and n_nationkey % 5 <> 0 and n_nationkey % 6 <> 0")

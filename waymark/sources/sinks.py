@@ -43,10 +43,13 @@ def point_features(df: DataFrame) -> DataFrame:
 
 
 def polygon_features(df: DataFrame, rings: str = "rings") -> DataFrame:
-    """Features of outlines; rings are closed by their first point."""
-    closed = F.transform(rings, lambda r: F.transform(F.concat(r, F.slice(r, 1, 1)), lambda p: F.transform(p, lambda v: F.round(v, 6))))
-    shape = F.struct(F.lit("MultiPolygon").alias("type"), F.transform(closed, lambda r: F.array(r)).alias("coordinates"))
-    return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*clean_fields(df, (rings,))).alias("properties"))).alias("feature"))
+    """Features of outlines: a column of polygons, each an outer ring and its holes, or of rings that are polygons each. Rings are closed by their first point."""
+    nested = df.schema[rings].dataType.simpleString().count("array") == 4
+    closed = lambda r: F.transform(F.concat(r, F.slice(r, 1, 1)), lambda p: F.transform(p, lambda v: F.round(v, 6)))
+    shapes = F.transform(rings, lambda p: F.transform(p, closed) if nested else F.array(closed(p)))
+    shape = F.struct(F.lit("MultiPolygon").alias("type"), shapes.alias("coordinates"))
+    other = [c for c in ("rings", "polygons") if c in df.columns]
+    return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*clean_fields(df, (rings, *other))).alias("properties"))).alias("feature"))
 
 
 def write_geojson(features: DataFrame, path: str, order: str | None = None) -> int:
