@@ -30,7 +30,7 @@ from __future__ import annotations
 import json
 import re
 from bisect import bisect_right
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -201,7 +201,7 @@ class Tokenizer:
             if word not in special:
                 labels[i] = bytes(letters[c] for c in word)
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-        self.automaton = Automaton(labels, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
+        self._arcs = labels, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         self.labels = [w or b"" for w in labels]
         for word, i in special.items():
             self.labels[i] = word.encode()
@@ -210,6 +210,11 @@ class Tokenizer:
         self._split = regex.compile(SPLIT)
         self._known: dict[str, bytes] = {}
 
+    @cached_property
+    def automaton(self) -> Automaton:
+        """Compiled when a word is first encoded; decoding needs the labels alone."""
+        return Automaton(*self._arcs)
+
     def _word(self, word: str) -> bytes:
         ids = np.array(self.automaton.encode(word.encode("utf-8")), "<i4").tobytes()
         if len(word) <= LONG:
