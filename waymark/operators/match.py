@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, similarity, text
+from .numbering import written
 
 THRESHOLD, MARGIN, BONUS = 82.0, 6.0, 8.0
 
@@ -18,35 +19,47 @@ def candidate_index(buildings: DataFrame, places: list[str], name: str = "name",
     return keyed.select("*", F.explode("_places").alias("place")).drop("_places")
 
 
-def _met(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """Records (rec_id, name, tiers: array of arrays of place keys) with the candidates of each tier, once for each place, and whether their saints may be the same.
+ANY = "*"  # stands for a record without a saint
 
-    Blocks meet by an equi join on the place key; a place with very many rows is split by Spark's
-    skew handling, as both sides are plain shuffles.
-    """
+
+def _asked(queries: DataFrame) -> DataFrame:
+    """(rec_id, tier, place) of records (rec_id, name, tiers: array of arrays of place keys) with their keys, which are computed once a record."""
     named = queries.where(F.coalesce(F.col("name"), F.lit("")) != "").select("rec_id", "name", "tiers")
-    # keys are computed once a record, before records meet candidates
-    keyed = named.withColumn("nkey", text.norm_key(F.col("name"))).withColumn("tkey", rules.dedication_key(F.col("name"))).withColumn("hkey", rules.dedication_head(F.col("name"))).withColumn("kind", rules.kind_of_name(F.col("name")))
+    keyed = named.withColumn("nkey", text.norm_key(F.col("name"))).withColumn("tkey", rules.dedication_key(F.col("name"))).withColumn("hkey", F.coalesce(rules.dedication_head(F.col("name")), F.lit(""))).withColumn("kind", rules.kind_of_name(F.col("name")))
     own = ["rec_id", "nkey", "tkey", "hkey", "kind"]
-    asked = keyed.select(*own, F.posexplode("tiers").alias("tier", "keys")).select(*own, "tier", F.explode("keys").alias("place"))
-    set_ = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    same = ~(set_("hkey") & set_("cand_hkey") & (F.col("hkey") != F.col("cand_hkey")))
-    return asked.join(index, "place").drop("place").withColumn("same_saint", same)
+    return keyed.select(*own, F.posexplode("tiers").alias("tier", "keys")).select(*own, "tier", F.explode("keys").alias("place"))
+
+
+def _pairs(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """Records with the candidates of a tier whose saint may be the same, once each.
+
+    They meet by place and saint: a record with a saint asks for it and for candidates without one, a
+    record without a saint for all. So pairs of different saints never arise; a place with very many
+    rows is split by Spark's skew handling, as both sides are plain shuffles.
+    """
+    wants = F.when(F.col("hkey") == "", F.array(F.lit(ANY))).otherwise(F.array("hkey", F.lit("")))
+    listed = index.withColumn("_saint", F.explode(F.array(F.coalesce("cand_hkey", F.lit("")), F.lit(ANY))))
+    met = asked.withColumn("_saint", F.explode(wants)).join(listed, ["place", "_saint"])
+    kept = ("nkey", "tkey", "kind", "cand_nkey", "cand_tkey", "cand_kind")
+    return met.groupBy("rec_id", "tier", "cand_id").agg(*(F.first(c).alias(c) for c in kept))
 
 
 def scored(queries: DataFrame, index: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs of a record and a candidate of a tier, once each, with same_saint, score and passes.
+    """Pairs of a record and a candidate of a tier whose saint may be the same, with score and passes; and a row without candidate for each record and tier that has any in its places.
 
-    Names are compared only where the saints may be the same; of all other pairs one stays for a record and tier.
+    Each two names are compared once however many pairs have them, and only if a bound that Spark
+    computes from their letters reaches the threshold; others score 0.
     """
-    met = _met(queries, index)
+    asked = written(_asked(queries), "asked")
+    pairs = written(_pairs(asked, index), "pairs")
     set_ = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    out = met.where("same_saint").dropDuplicates(["rec_id", "tier", "cand_id"])
-    full = set_("tkey") & (F.col("tkey") == F.col("cand_tkey"))
-    ratio = similarity.ratio(F.col("nkey"), F.col("cand_nkey"))
-    out = out.withColumn("ratio", ratio).withColumn("score", F.when(full, F.least(F.lit(100.0), F.col("ratio") + BONUS)).otherwise(F.col("ratio")))
-    out = out.withColumn("passes", F.col("score") >= threshold)
-    others = met.where("not same_saint").groupBy("rec_id", "tier").agg(F.lit(False).alias("same_saint"), F.lit(False).alias("passes"))
+    bonus = F.when(set_("tkey") & (F.col("tkey") == F.col("cand_tkey")), BONUS).otherwise(0.0)
+    names = pairs.groupBy("nkey", "cand_nkey").agg(F.max(bonus).alias("most"))
+    near = names.where(similarity.bound(F.col("nkey"), F.col("cand_nkey")) + F.col("most") >= threshold)
+    compared = near.select("nkey", "cand_nkey", similarity.ratio(F.col("nkey"), F.col("cand_nkey")).alias("found"))
+    out = pairs.join(compared, ["nkey", "cand_nkey"], "left").withColumn("score", F.least(F.lit(100.0), F.coalesce("found", F.lit(0.0)) + bonus)).drop("found")
+    out = out.withColumn("passes", F.col("score") >= threshold).withColumn("same_saint", F.lit(True))
+    others = asked.join(index.select("place").distinct(), "place", "left_semi").select("rec_id", "tier").distinct().select("*", F.lit(False).alias("same_saint"), F.lit(False).alias("passes"))
     return out.unionByName(others, allowMissingColumns=True)
 
 

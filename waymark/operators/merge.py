@@ -52,6 +52,26 @@ def identity(national: Column, registry: Column) -> Column:
     return F.coalesce(F.concat(F.lit("oib:"), filled(national)), F.concat(F.lit("reg:"), filled(registry)))
 
 
+def resolve_identities(known: DataFrame, rows: DataFrame, order: str, slug: str = "slug", national: str = "oib", registry: str = "registry_id") -> DataFrame:
+    """The rows of a load with the slugs that their persons have, or new ones that nobody has.
+
+    A row with a national number is the known person of that number, one without is the known person of
+    its registry number; it takes over that person's slug, whatever its own proposal in column slug is.
+    Rows of one person get one slug, proposed by the first of them in the order. A proposal that is
+    taken, or made for several persons, gets the next free number behind it, in the order of the persons.
+    """
+    key = identity(F.col(national), F.col(registry))
+    had = known.select(F.explode(F.array(F.struct(identity(F.col(national), F.lit(None)).alias("p"), F.col(slug).alias("s")), F.struct(identity(F.lit(None), F.col(registry)).alias("p"), F.col(slug).alias("s")))).alias("k")).select("k.*").where("p is not null")
+    had = had.groupBy("p").agg(F.min("s").alias("_had"))
+    asked = rows.withColumn("_person", key)
+    persons = asked.groupBy("_person").agg(F.min_by(slug, order).alias("_wish"), F.min(order).alias("_order")).join(had, F.col("_person") == F.col("p"), "left").drop("p")
+    parted = F.struct(F.regexp_extract(slug, "^(.*)-([0-9]+)$", 1).alias("base"), F.regexp_extract(slug, "^(.*)-([0-9]+)$", 2).try_cast("bigint").alias("n"))
+    taken = known.select(F.explode(F.array(F.struct(F.col(slug).alias("base"), F.lit(1).cast("bigint").alias("n")), parted)).alias("t")).select("t.*").where("n is not null").groupBy("base").agg(F.max("n").alias("_last"))
+    fresh = persons.where("_had is null").join(taken, F.col("_wish") == F.col("base"), "left").withColumn("_n", F.row_number().over(Window.partitionBy("_wish").orderBy("_order", "_person")) + F.coalesce("_last", F.lit(0)))
+    given = fresh.select("_person", F.when(F.col("_n") == 1, F.col("_wish")).otherwise(F.concat("_wish", F.lit("-"), "_n")).alias("_slug")).unionByName(persons.where("_had is not null").select("_person", F.col("_had").alias("_slug")))
+    return asked.join(given, "_person").withColumn(slug, F.col("_slug")).select(*rows.columns)
+
+
 def collapse(rows: DataFrame, key: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
     """One row a key: of each column the first value, in the given order, that is neither null nor empty."""
     return rows.groupBy(*key).agg(*(F.expr(f"min_by(`{c}`, `{order}`) filter (where `{c}` is not null and cast(`{c}` as string) <> '')").alias(c) for c in columns))

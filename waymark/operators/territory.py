@@ -105,35 +105,64 @@ def agreement(places: DataFrame, assigned: DataFrame, boundaries: DataFrame) ->
     return joined.groupBy("name").agg(F.count_if(F.col("diocese") == F.col("name")).alias("hit"), F.count("*").alias("total"))
 
 
-def covered_spans(rings: list, y: float) -> list[tuple[float, float]]:
-    """Where a horizontal line is inside, by the even-odd rule."""
-    xs = []
-    for ring in rings:
-        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
-            if (y1 > y) != (y2 > y):
-                xs.append((x2 - x1) * (y - y1) / (y2 - y1) + x1)
-    xs.sort()
-    return list(zip(xs[::2], xs[1::2], strict=False))
-
-
-def iou_of(a: list, b: list, lines: int = 400) -> float:
-    """Intersection over union of two sets of rings, summed over horizontal lines (an approximation)."""
-    ys = [p[1] for r in (*a, *b) for p in r]
-    if not ys:
-        return 0.0
-    low, high, both, one = min(ys), max(ys), 0.0, 0.0
-    for k in range(lines):
-        y = low + (high - low) * (k + 0.5) / lines
-        sa, sb = covered_spans(a, y), covered_spans(b, y)
-        shared = sum(max(0.0, min(p[1], q[1]) - max(p[0], q[0])) for p in sa for q in sb)
-        both += shared
-        one += sum(q - p for p, q in sa) + sum(q - p for p, q in sb) - shared
-    return both / one if one else 0.0
+def _sides(rings: list) -> np.ndarray:
+    """(x1, y1, x2, y2) of all sides that are not level, the lower end first."""
+    out = [np.hstack([r, np.roll(r, -1, 0)]) for r in (np.array([list(p) for p in ring], float).reshape(-1, 2) for ring in rings) if len(r) > 2]
+    sides = np.vstack(out) if out else np.zeros((0, 4))
+    sides = sides[sides[:, 1] != sides[:, 3]]
+    return np.where((sides[:, 1] > sides[:, 3])[:, None], sides[:, [2, 3, 0, 1]], sides)
+
+
+def _meetings(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Heights at which sides cross, strictly inside both."""
+    found = [np.zeros(0)]
+    for k in range(0, len(a), 256):
+        p, q = a[k : k + 256, None], b[None]
+        d, e = p[..., 2:] - p[..., :2], q[..., 2:] - q[..., :2]
+        over = d[..., 0] * e[..., 1] - d[..., 1] * e[..., 0]
+        away = q[..., :2] - p[..., :2]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (away[..., 0] * e[..., 1] - away[..., 1] * e[..., 0]) / over
+            u = (away[..., 0] * d[..., 1] - away[..., 1] * d[..., 0]) / over
+            on = (over != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
+            found.append((p[..., 1] + t * d[..., 1])[on])
+    return np.concatenate(found)
+
+
+def overlap_of(a: list, b: list) -> tuple[float, float]:
+    """Areas of the intersection and the union of two sets of rings, each by the even-odd rule; exact for any rings.
+
+    Between two neighbouring heights of corners and crossings no sides meet, so each slab is a row of
+    trapezoids, whose areas are their height times their width in the middle.
+    """
+    sa, sb = _sides(a), _sides(b)
+    sides, first = np.vstack([sa, sb]), len(sa)
+    heights = np.unique(np.concatenate([sides[:, 1], sides[:, 3], _meetings(sides, sides)]))
+    both = either = 0.0
+    for k in range(0, len(heights) - 1, 512):
+        ys = heights[k : k + 513]
+        middle, tall = (ys[1:] + ys[:-1]) / 2, np.diff(ys)
+        x = sides[:, 0] + (sides[:, 2] - sides[:, 0]) * (middle[:, None] - sides[:, 1]) / (sides[:, 3] - sides[:, 1])
+        x[(middle[:, None] < sides[:, 1]) | (middle[:, None] > sides[:, 3])] = np.inf
+        order = np.argsort(x, axis=1, kind="stable")
+        x, own = np.take_along_axis(x, order, 1), order < first
+        in_a, in_b = (np.cumsum(m, axis=1)[:, :-1] % 2 == 1 for m in (own, ~own))
+        with np.errstate(invalid="ignore"):
+            wide = np.nan_to_num(np.diff(x, axis=1), nan=0.0, posinf=0.0) * tall[:, None]
+        both += float(wide[in_a & in_b].sum())
+        either += float(wide[in_a | in_b].sum())
+    return both, either
+
+
+def iou_of(a: list, b: list) -> float:
+    """Intersection over union of two sets of rings; 0 where there is no area."""
+    both, either = overlap_of(a, b)
+    return both / either if either else 0.0
 
 
 @F.pandas_udf(DoubleType())
 def iou(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([iou_of([list(map(tuple, r)) for r in x], [list(map(tuple, r)) for r in y]) for x, y in zip(a, b, strict=True)])
+    return pd.Series([iou_of(x, y) for x, y in zip(a, b, strict=True)])
 
 
 def rollup(places: DataFrame, assigned: DataFrame, parishes: DataFrame, churches: DataFrame) -> DataFrame:

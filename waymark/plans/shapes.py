@@ -69,3 +69,16 @@ def outline_features(t: Tables) -> DataFrame:
     read = features.select(F.get_json_object("feature", "$.properties.side").alias("side"), F.from_json(F.get_json_object("feature", "$.geometry.coordinates"), geo.POLYGONS).alias("c"))
     closed = F.forall("c", lambda p: F.forall(p, lambda r: F.element_at(r, 1) == F.element_at(r, -1)))
     return read.select("side", F.round(_feature_area(F.col("c")), 6).alias("square_degrees"), closed.alias("closed"))
+
+
+@query("""with d as (select s_suppkey, s_suppkey % 3 as kind, (s_suppkey % 19) / 10.0::double as d from supplier),
+a as (select *, case kind when 0 then (2 - d) * (2 - d) / 2 when 1 then 2 * d * d - case when d > 1 then 4 * (d - 1) * (d - 1) else 0 end else 1.8 * d end as shared, case kind when 0 then 4 when 1 then 4 + 2 * d * d else 6.6 + 3 * d end as total from d)
+select s_suppkey, round(shared / (total - shared), 9) as iou from a""")
+def overlap_exact(t: Tables) -> DataFrame:
+    """Slanted and concave shapes: two triangles, one moved; a square and a diamond that grows beyond it; a U and a bar across it."""
+    d = F.col("s_suppkey") % 19 / F.lit(10.0)
+    ring = lambda *points: F.array(F.array(*(F.array(*(v.cast("double") if isinstance(v, Column) else F.lit(float(v)) for v in p)) for p in points)))
+    kind = F.col("s_suppkey") % 3
+    a = F.when(kind == 0, ring((0, 0), (2, 0), (0, 2))).when(kind == 1, ring((0, 0), (2, 0), (2, 2), (0, 2))).otherwise(ring((0, 0), (3, 0), (3, 3), (2.2, 3), (2.2, 1), (1, 1), (1, 3), (0, 3)))
+    b = F.when(kind == 0, ring((d, 0), (d + 2, 0), (d, 2))).when(kind == 1, ring((1 - d, 1), (1, 1 - d), (d + 1, 1), (1, d + 1))).otherwise(ring((0, 1), (3, 1), (3, d + 1), (0, d + 1)))
+    return t.supplier.select("s_suppkey", F.round(territory.iou(a, b), 9).alias("iou"))
