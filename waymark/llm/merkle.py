@@ -6,10 +6,11 @@ in order of the group are the leaves of a tree on top, whose last node is the ro
 materialised table (tree, level, idx, hash).
 
 A proof is looked up, not walked: from a leaf's index and its tree's size alone follow the
-coordinates of all siblings it needs; they are exploded, joined with the node table, put in order and
-folded. Nodes high up are needed by many leaves: those from the level on where the whole dataset has
-at most SHARED nodes are few by construction (2 x SHARED x 8/7 and as many of the top tree) and are
-broadcast; below it a node is needed by at most 8^level x 7 leaves, so no key of the shuffled join is hot.
+coordinates of the siblings it needs; they are exploded, joined with the node table, put in order and
+folded. Siblings high up are the same for many leaves. So from the level on where the whole dataset
+has at most SHARED nodes, they are asked for once for each node of that level and joined with its
+leaves by broadcast (if a count shows that there are few; many small trees are joined by shuffle);
+below it a node is asked for by at most 7 x 8^level leaves, so no key of the shuffled join is hot.
 
 Leaves are numbered by ranges with prefix sums, so a group with most of the rows is dealt to many tasks.
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from ..operators.numbering import numbered
 from .common import Scratch
 
-ARITY, SHARED = 8, 1 << 14
+ARITY, SHARED = 8, 1 << 12
 TOP = -1  # the number of the tree over the subroots
 TOP_ORDER = 64  # its levels come after all levels of the trees below
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -55,20 +56,21 @@ def _hex(c: Column) -> Column:
     return F.lower(F.hex(c))
 
 
-def _coordinates(tree: Column, idx: str, size: str, levels: int, order: int) -> Column:
-    """array<struct(tree, level, idx, at, pos)>: the siblings that a leaf needs; at is the place of their level in the proof, pos the leaf's own index there."""
-    none = F.array().cast("array<struct<tree:bigint,level:int,idx:bigint,at:int,pos:bigint>>")
+SIBLING = "struct<tree:bigint,level:int,idx:bigint,at:int>"
+
+
+def _coordinates(tree: str, idx: str, size: str, levels: range, base: int = 0, order: int = 0) -> Column:
+    """array<SIBLING>: what a node of level base needs at these levels of its tree; at is the place of a level in the proof."""
 
     def of_level(level: int) -> Column:
-        width = ARITY**level
-        pos = F.expr(f"{idx} div {width}L")
-        n = F.expr(f"({size} + {width - 1}L) div {width}L")
-        first = F.expr(f"{idx} div {width * ARITY}L * {ARITY}L")
+        pos = F.expr(f"{idx} div {ARITY ** (level - base)}L")
+        n = F.expr(f"({size} + {ARITY**level - 1}L) div {ARITY**level}L")
+        first = F.expr(f"{idx} div {ARITY ** (level - base + 1)}L * {ARITY}L")
         run = F.sequence(first, F.least(first + (ARITY - 1), n - 1))
-        others = F.transform(F.filter(run, lambda i: i != pos), lambda i: F.struct(tree.cast("long").alias("tree"), F.lit(level).alias("level"), i.alias("idx"), F.lit(order + level).alias("at"), pos.alias("pos")))
-        return F.when(n > 1, others).otherwise(none)
+        others = F.transform(F.filter(run, lambda i: i != pos), lambda i: F.struct(F.expr(tree).cast("long").alias("tree"), F.lit(level).alias("level"), i.alias("idx"), F.lit(order + level).alias("at")))
+        return F.when(n > 1, others).otherwise(F.array().cast(f"array<{SIBLING}>"))
 
-    return F.concat(none, *(of_level(k) for k in range(levels)))
+    return F.concat(F.array().cast(f"array<{SIBLING}>"), *map(of_level, levels))
 
 
 def _levels(size: int) -> int:
@@ -89,6 +91,7 @@ class Manifest:
     def __init__(self, rows: DataFrame) -> None:
         """rows: id long, lang string, leaf binary, changed binary."""
         self.scratch = keep = Scratch(rows.sparkSession)
+        rows = keep.keep(rows, "hashed")  # ordering by ranges reads its input twice
         placed = numbered(rows.select("id", "lang", "leaf", "changed"), ["id", "leaf"], ["lang"], "idx", 0)
         sizes = numbered(placed.groupBy("lang").agg(F.count("*").alias("size")), ["lang"], name="tree", start=0)
         self.trees = keep.keep(sizes, "trees")
@@ -97,9 +100,9 @@ class Manifest:
         named = self.trees.withColumnRenamed("lang", "_lang")
         self.leaves = keep.keep(placed.join(named, F.col("lang").eqNullSafe(F.col("_lang"))).select("id", "leaf", "changed", "tree", "idx", "size"), "leaves")
         below = self._grown(self.leaves.select("tree", "idx", "size", F.col("leaf").alias("hash")), _levels(self.most))
-        self.subroots = reduce(DataFrame.unionByName, below).where("size = 1").select("tree", F.col("hash").alias("subroot"))
+        self.subroots = keep.keep(reduce(DataFrame.unionByName, below).where("size = 1").select("tree", F.col("hash").alias("subroot")), "subroots")
         top = self.subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(self.n_trees).cast("long").alias("size"), F.col("subroot").alias("hash"))
-        above = self._grown(keep.keep(top, "subroots"), _levels(self.n_trees))
+        above = self._grown(top, _levels(self.n_trees))
         self.root = above[-1].where("size = 1").select(_hex(F.col("hash")))
         self.nodes = reduce(DataFrame.unionByName, (df.withColumn("level", F.lit(level)) for tier in (below, above) for level, df in enumerate(tier)))
 
@@ -112,28 +115,39 @@ class Manifest:
             out.append(self.scratch.keep(above.agg(F.expr(f"(first(size) + {ARITY - 1}L) div {ARITY}L").alias("size"), F.unhex(F.sha2(run, 256)).alias("hash")), f"level{level}"))
         return out
 
-    def proofs(self) -> DataFrame:
-        """(tree, idx, siblings): for each leaf that needs any, array<struct(at, idx, pos, hash)> from the lowest level up, left to right."""
-        asked = F.concat(_coordinates(F.col("tree"), "idx", "size", _levels(self.most), 0), _coordinates(F.lit(TOP), "tree", "trees", _levels(self.n_trees), TOP_ORDER))
-        rows = self.leaves.withColumn("trees", F.lit(self.n_trees).cast("long")).select(F.col("tree").alias("of_tree"), F.col("idx").alias("of_idx"), F.explode(asked).alias("c")).select("of_tree", "of_idx", "c.*")
-        cut = _levels(-(-self.total // SHARED))
-        nodes = self.nodes.select("tree", "level", "idx", "hash", "size")
-        low = rows.where(F.col("level") < cut).join(nodes.where((F.col("level") < cut) & (F.col("size") > 1)).drop("size"), ["tree", "level", "idx"])
-        high = rows.where(F.col("level") >= cut).join(F.broadcast(nodes.where((F.col("level") >= cut) & (F.col("size") > 1)).drop("size")), ["tree", "level", "idx"])
-        found = low.unionByName(high).groupBy("of_tree", "of_idx").agg(F.array_sort(F.collect_list(F.struct("at", "idx", "pos", "hash"))).alias("siblings"))
-        return found.select(F.col("of_tree").alias("tree"), F.col("of_idx").alias("idx"), "siblings")
+    def _found(self, rows: DataFrame, key: list[str], asked: Column, nodes: DataFrame) -> DataFrame:
+        """(key, siblings): array<struct(at, idx, hash)> from the lowest level up, left to right, for each row that needs any; by merging at any size."""
+        asks = rows.select(*(F.col(k).alias(f"of_{k}") for k in key), F.explode(asked).alias("c")).select(*(f"of_{k}" for k in key), "c.*")
+        met = asks.join(nodes.where("size > 1").select("tree", "level", "idx", "hash").hint("merge"), ["tree", "level", "idx"])
+        found = met.groupBy(*(f"of_{k}" for k in key)).agg(F.array_sort(F.collect_list(F.struct("at", "idx", "hash"))).alias("siblings"))
+        return found.select(*(F.col(f"of_{k}").alias(k) for k in key), "siblings")
 
-
-def _steps(size: Column, levels: int, order: int) -> Column:
-    """Places of a tree's levels in a proof; a run of one node is hashed too, though it brings no sibling."""
-    return F.filter(F.array(*(F.lit(order + k) for k in range(levels))).cast("array<int>"), lambda at: size > F.pow(F.lit(float(ARITY)), at - order))
+    def proofs(self) -> DataFrame:
+        """tree, idx, size, id, leaf, changed, siblings: the leaves with the siblings that they need, from the lowest level up, left to right."""
+        cut, levels, top = _levels(-(-self.total // SHARED)), _levels(self.most), _levels(self.n_trees)
+        low = self._found(self.leaves, ["tree", "idx"], _coordinates("tree", "idx", "size", range(min(cut, levels))), self.nodes.where(F.col("level") < cut))
+        base = f"div {ARITY**cut}L"
+        bases = self.trees.select("tree", "size", F.lit(self.n_trees).cast("long").alias("trees"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(size - 1) {base}"))).alias("base"))
+        asked = F.concat(_coordinates("tree", "base", "size", range(cut, levels), cut), _coordinates(str(TOP), "tree", "trees", range(top), 0, TOP_ORDER))
+        high = self._found(bases, ["tree", "base"], asked, self.nodes.where((F.col("level") >= cut) | (F.col("tree") == TOP))).withColumnRenamed("siblings", "above")
+        if self.total // ARITY**cut + self.n_trees <= 4 * SHARED:  # no fewer than the rows of high
+            high = F.broadcast(high)
+        none = F.array().cast("array<struct<at:int,idx:bigint,hash:binary>>")
+        rows = self.leaves.join(low.hint("merge"), ["tree", "idx"], "left").withColumn("base", F.expr(f"idx {base}")).join(high, ["tree", "base"], "left")
+        return rows.withColumn("siblings", F.concat(F.coalesce("siblings", none), F.coalesce("above", none))).drop("above", "base")
+
+
+def _steps(idx: str, size: str, levels: int, order: int) -> Column:
+    """array<struct(at, pos)>: the levels of a proof and the own index there; a run of one node is hashed too, though it brings no sibling."""
+    steps = F.array(*(F.struct(F.lit(order + k).alias("at"), F.expr(f"{idx} div {ARITY**k}L").alias("pos"), F.lit(ARITY**k).cast("long").alias("width")) for k in range(levels)))
+    return F.filter(steps.cast("array<struct<at:int,pos:bigint,width:bigint>>"), lambda s: F.expr(size) > s["width"])
 
 
 def folded(leaf: Column, siblings: Column, steps: Column) -> Column:
     """The root that a leaf and its ordered siblings give level by level, in hex."""
 
     def step(acc: Column, at: Column) -> Column:
-        side = lambda left: F.array_join(F.transform(F.filter(siblings, lambda s: (s["at"] == at) & ((s["idx"] < s["pos"]) if left else (s["idx"] > s["pos"]))), lambda s: _hex(s["hash"])), "")
+        side = lambda left: F.array_join(F.transform(F.filter(siblings, lambda s: (s["at"] == at["at"]) & ((s["idx"] < at["pos"]) if left else (s["idx"] > at["pos"]))), lambda s: _hex(s["hash"])), "")
         return F.sha2(F.concat(side(True), acc, side(False)), 256)
 
     return F.aggregate(steps, leaf, step)
@@ -152,9 +166,8 @@ def prove(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified: one row a document, hashes in lower-case hex."""
     m = Manifest(manifest_rows(docs))
     root = m.root.first()
-    nothing = F.array().cast("array<struct<at:int,idx:bigint,pos:bigint,hash:binary>>")
-    rows = m.leaves.join(m.proofs(), ["tree", "idx"], "left").join(m.subroots, "tree").withColumn("siblings", F.coalesce("siblings", nothing))
-    steps = F.concat(_steps(F.col("size"), _levels(m.most), 0), _steps(F.lit(m.n_trees), _levels(m.n_trees), TOP_ORDER))
+    rows = m.proofs().join(m.subroots, "tree")
+    steps = F.concat(_steps("idx", "size", _levels(m.most), 0), _steps("tree", f"{m.n_trees}L", _levels(m.n_trees), TOP_ORDER))
     out = rows.select(
         F.col("id").alias("doc_id"), _hex(F.col("leaf")).alias("leaf"), _hex(F.col("subroot")).alias("subroot"), F.lit(root[0] if root else None).alias("root"),
         F.sha2(F.array_join(F.transform("siblings", lambda s: _hex(s["hash"])), ""), 256).alias("proof_sha256"), folded(_hex(F.coalesce("changed", "leaf")), F.col("siblings"), steps).alias("folded_root"),
