@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from .numbering import written
 
 POLYGON_CELL, POINT_CELL = 0.1, 0.01
 #: Points that one key of a cell takes; a cell with more is split.
@@ -109,32 +110,44 @@ def name_candidates(asked: DataFrame, settlements: DataFrame, id_: str, name: st
     return asked.select(id_, text.fold_key(F.col(name)).alias("_key")).where("_key <> ''").join(listed, "_key").select(id_, of, (F.col("_key") == F.col("_whole")).alias("exact"))
 
 
-def concentric(asked: DataFrame, pool: DataFrame, id_: str, pool_id: str, circles: list[str], first_degrees: float = 1.0) -> DataFrame:
+def _first_reach(pool: DataFrame, own: list[str], near: int = 8) -> float:
+    """Degrees within which a point has about so many pool points of its circle, if they lay evenly; between a hundredth and 90."""
+    box = (F.max("lat") - F.min("lat")) * (F.max("lng") - F.min("lng"))
+    groups = F.count_distinct(*own) if own else F.lit(1)
+    area, n, k = pool.agg(box.alias("area"), F.count("*").alias("n"), groups.alias("k")).first()
+    return min(90.0, max(0.01, (near * (area or 0.0) * max(k, 1) / max(n, 1) / 3.14) ** 0.5))
+
+
+def concentric(asked: DataFrame, pool: DataFrame, id_: str, pool_id: str, circles: list[str], first_degrees: float | None = None) -> DataFrame:
     """(id, p_<pool_id>, circle) of the nearest pool point in the narrowest circle that has any; circle len(circles) is the whole pool.
 
     circles are columns of both sides, narrow first. In a circle points meet the pool by cells, first
-    within a small radius; those that found nothing ask again at twice the radius, until the cells span
-    the globe. So nobody is compared with a whole circle unless it is as sparse as that, and every
-    point whose circle has a pool point finds the nearest. Points without a place find none.
+    within a radius that fits the pool's density (or first_degrees); those that found nothing ask again
+    at four times the radius, until the cells span the globe. So nobody is compared with a whole circle
+    unless it is as sparse as that, and every point whose circle has a pool point finds the nearest. What
+    a radius finds is written once, for the result and for those who ask again. Points without a place find none.
     """
     p = pool.where("lat is not null and lng is not null").select(pool_id, "lat", "lng", *circles)
     apart = geo.degrees2(F.col("lat"), F.col("lng"), F.col("p_lat"), F.col("p_lng"))
     out, rest = None, asked.where("lat is not null and lng is not null").select(id_, "lat", "lng", *circles)
     for k in range(len(circles) + 1):
-        own = tuple(circles[k : k + 1])
-        here = rest.join(p.select(*own).distinct(), list(own), "left_semi") if own else rest
-        degrees = first_degrees
+        own = circles[k : k + 1]
+        there = p.select(*own).distinct() if own else None
+        here = rest.join(there, own, "left_semi") if own else rest
+        degrees = first_degrees or _first_reach(p, own)
         while True:
-            met = _met(here, p.select(pool_id, "lat", "lng", *own), degrees, "p_", own).withColumn("_d", apart)
+            met = _met(here, p.select(pool_id, "lat", "lng", *own), degrees, "p_", tuple(own)).withColumn("_d", apart)
             near = met.where(F.col("_d") <= degrees**2) if degrees < 720 else met
-            best = near.groupBy(id_).agg(F.min(F.struct("_d", f"p_{pool_id}")).alias("b")).select(id_, f"b.p_{pool_id}", F.lit(k).alias("circle"))
+            best = written(near.groupBy(id_).agg(F.min(F.struct("_d", f"p_{pool_id}")).alias("b")).select(id_, f"b.p_{pool_id}", F.lit(k).alias("circle")), "nearest")
             out = best if out is None else out.unionByName(best)
-            here = here.join(best.select(id_), id_, "left_anti").persist()
-            if degrees >= 720 or here.isEmpty():
+            if degrees >= 720:
+                break
+            here = written(here.join(best.select(id_), id_, "left_anti"), "rest")
+            if here.isEmpty():
                 break
-            degrees *= 2
+            degrees *= 4
         if own:
-            rest = rest.join(p.select(*own).distinct(), list(own), "left_anti").persist()
+            rest = written(rest.join(there, own, "left_anti"), "outside")
             if rest.isEmpty():
                 break
     return out

@@ -177,3 +177,58 @@ def picked_aliases(t: Tables) -> DataFrame:
     rows = readers.buildings(readers.sacral_elements(_elements(t)))
     named = F.exists(F.array(*(F.try_element_at("tags", F.lit(k)) for k in ("name", "official_name", "alt_name"))), lambda v: F.coalesce(v, F.lit("")) != "")
     return readers.aliases(rows.where(named))
+
+
+_SEATS = """with w as (select n_nationkey as idx, case when n_nationkey = 24 then 'town 7' else 'town ' || n_nationkey % 7 || case when n_nationkey >= 14 then ' gornji' else '' end end as key, (n_nationkey % 5)::varchar as jls, 'c' || n_nationkey % 3 as county, 13.4::double + n_nationkey % 5 * 1.2::double as x, 42.3::double + n_nationkey // 5 * 0.8::double as y from nation),
+p as (select c_custkey as id, 'town ' || c_custkey % 8 as city, c_custkey % 8 as saint, case when c_custkey % 11 > 0 then 'D' || c_custkey % 3 end as diocese, case when c_custkey % 13 > 0 then 42.3::double + ((c_custkey * 7919) % 4300) / 1000.0::double end as lat, case when c_custkey % 13 > 0 then 13.4::double + ((c_custkey * 104729) % 6100) / 1000.0::double end as lng from customer),
+g as (select p.id, o.idx as o_idx, o.county as o_county, lng >= x and lng < x + 1.2 and lat >= y and lat < y + 0.8 as at_goal from p left join w o on o.key = 'town ' || p.id % 7 and o.jls = (p.id % 5)::varchar where p.id % 17 = 0),
+nm as (select p.id, diocese, w.idx, county, key = city as exact, coalesce(lng >= x and lng < x + 1.2 and lat >= y and lat < y + 0.8, false) as inside, 111.32::double * sqrt(pow(y + 0.4 - lat, 2) + pow((x + 0.6 - lng) * cos(radians((lat + y + 0.4) / 2)), 2)) as km from p join w on key = city or starts_with(key, city || ' ')),
+nc as (select id, arg_min(county, case when exact then idx else 100 + idx end) as n_county from nm where inside group by id),
+al as (select diocese, coalesce(o_county, n_county) as county from p left join g using (id) left join nc using (id) where diocese is not null and coalesce(o_county, n_county) is not null group by all having count(*) >= (select count(*) // 83 from customer)),
+t as (select id, bool_or(inside) as inside, min(km) as km, count(*) filter (exact) as n_exact, count(*) as n_all, max(idx) filter (exact) as one_exact, max(idx) as one_any, count(*) filter (exact and a.county is not null) as ok_exact, count(*) filter (a.county is not null) as ok_all,
+  max(idx) filter (exact and a.county is not null) as ok_exact_idx, max(idx) filter (a.county is not null) as ok_idx from nm left join al a on a.diocese = nm.diocese and a.county = nm.county group by id),
+h as (select id, min(county) as here from p join w on lng >= x and lng < x + 1.2 and lat >= y and lat < y + 0.8 group by id),
+v as (select p.*, g.id is not null as has, o_idx, coalesce(at_goal, false) as at_goal, coalesce(not t.inside and t.km > 30, false) as far, case when n_exact > 0 then n_exact else n_all end as few, case when n_exact > 0 then one_exact else one_any end as one, ok_exact, ok_all, ok_exact_idx, ok_idx,
+  p.diocese not in (select diocese from al) or p.diocese is null or here is null or exists (select 1 from al where al.diocese = p.diocese and al.county = here) as fine from p left join g using (id) left join t using (id) left join h using (id)),
+d as (select id, lat, lng, saint, case when has and o_idx is not null and not at_goal then ['fix', o_idx::varchar, 'override'] when has or lat is null then ['keep', null, 'settled'] when far and few = 1 then ['fix', one::varchar, 'far'] when far then ['drop', null, 'far'] when fine then ['keep', null, 'settled']
+  when ok_exact = 1 then ['fix', ok_exact_idx::varchar, 'county'] when ok_all = 1 then ['fix', ok_idx::varchar, 'county'] else ['keep', null, 'unclear'] end as verdict from v)"""
+
+
+def _register(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Settlements whose names recur, parishes registered in them with points that are often elsewhere, and overrides of some."""
+    n, k = F.col("idx"), F.col("c_custkey")
+    towns = _towns(t).select("idx", F.when(n == 24, "Town 7").otherwise(F.concat(F.lit("Town "), n % 7, F.when(n >= 14, " Gornji").otherwise(""))).alias("name"), (n % 5).cast("string").alias("jls"), F.concat(F.lit("c"), n % 3).alias("county"), "lat", "lng", "polygons")
+    known = lambda c: F.when(k % 13 > 0, c)
+    parishes = t.customer.select(k.alias("registry_id"), F.concat(F.lit("Crkva sv. "), _saint(k)).alias("name"), F.concat(F.lit("Town "), k % 8).alias("city"), F.when(k % 11 > 0, F.concat(F.lit("D"), k % 3)).alias("diocese"), known(F.lit(42.3) + k * 7919 % 4300 / F.lit(1000.0)).alias("lat"), known(F.lit(13.4) + k * 104729 % 6100 / F.lit(1000.0)).alias("lng"))
+    overrides = t.customer.where(k % 17 == 0).select(k.alias("registry_id"), F.concat(F.lit("Town "), k % 7).alias("settlement"), (k % 5).cast("string").alias("municipality"))
+    return towns, parishes, overrides
+
+
+def _resolved(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    towns, parishes, overrides = _register(t)
+    allowed = linking.settled_counties(parishes, towns, overrides, t.customer.count() // 83)
+    return towns, parishes, linking.resolve_seats(parishes, towns, towns.limit(0), overrides, allowed)
+
+
+@query(f"{_SEATS} select diocese, county from al")
+def settled_counties(t: Tables) -> DataFrame:
+    towns, parishes, overrides = _register(t)
+    return linking.settled_counties(parishes, towns, overrides, t.customer.count() // 83)
+
+
+@query(f"{_SEATS} select id as registry_id, verdict[1] as action, verdict[2]::bigint as target, verdict[3] as reason from d")
+def resolved_seats(t: Tables) -> DataFrame:
+    """Seats kept, moved or dropped, by overrides, distance and the dioceses' settled counties."""
+    return _resolved(t)[2].select("registry_id", "action", "target", "reason")
+
+
+@query(f"""{_SEATS}, {SUPPLIERS[SUPPLIERS.index("s as"):]}, f as (select id, saint, verdict[2]::int as target from d where verdict[1] = 'fix'),
+c as (select f.id, arg_min(s.lat, s_suppkey) as lat, arg_min(s.lng, s_suppkey) as lng from f join w on idx = target join s on s_suppkey % 8 = saint and w.key = 'town ' || s_suppkey % 7 and s.lng >= x and s.lng < x + 1.2 and s.lat >= y and s.lat < y + 0.8 group by f.id)
+select d.id as registry_id, round(case verdict[1] when 'drop' then null when 'fix' then coalesce(c.lat, w.y + 0.4) else d.lat end, 6) as lat, round(case verdict[1] when 'drop' then null when 'fix' then coalesce(c.lng, w.x + 0.6) else d.lng end, 6) as lng
+from d left join c using (id) left join f using (id) left join w on w.idx = f.target""")
+def moved_seats(t: Tables) -> DataFrame:
+    """The corrected points: the church of the same dedication in the settlement moved to, else a point inside it."""
+    towns, parishes, resolved = _resolved(t)
+    s = F.col("s_suppkey")
+    churches = suppliers(t).select(s.alias("id"), F.concat(F.lit("Crkva sv. "), _saint(s)).alias("name"), F.concat(F.lit("Town "), s % 7).alias("settlement"), "lat", "lng")
+    return linking.apply_fixes(parishes, resolved, towns, churches).select("registry_id", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"))
