@@ -80,6 +80,8 @@ def test_query_equals_the_library(spark, documents, corpus, tmp_path):
     got = [tuple(r) for r in queries.op11_tokenization_automaton(spark, path).collect()]
     key = lambda r: (r[0] is None, *map(str, r))
     assert sorted(got, key=key) == sorted(want, key=key)
+    stored = bpe.decode_documents(bpe.encode_documents(spark.read.parquet(f"{path}/documents.parquet"), PATH), PATH)
+    assert sorted((tuple(r) for r in bpe.digests(stored).collect()), key=key) == sorted(want, key=key)
     assert bpe.encode_documents(documents(["x"]).where("false"), PATH).count() == 0
 
 

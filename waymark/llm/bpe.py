@@ -42,7 +42,7 @@ from .common import id_column
 
 #: The splitting rule of byte-level vocabularies (a fixed value).
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-KNOWN, LONG, TABLE, FLUSH = 1 << 19, 64, 1 << 19, 1 << 22  # words kept and their length, transitions kept, tokens in an output batch
+KNOWN, LONG, TABLE, FLUSH = 1 << 19, 64, 1 << 19, 1 << 20  # words kept and their length, transitions kept, tokens in an output batch
 
 
 def byte_letters() -> dict[str, int]:
@@ -243,32 +243,35 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def _batch(ids: list, encoded: list[bytes]) -> pa.RecordBatch:
+def _batch(ids: list, encoded: list[bytes], texts: list[str] | None) -> pa.RecordBatch:
     ends = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
     values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(encoded))])
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values)], names=["doc_id", "ids"])
+    columns = {"doc_id": pa.array(ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends), values)}
+    return pa.RecordBatch.from_pydict(columns if texts is None else columns | {"text": pa.array(texts, pa.string())})
 
 
-def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the tokens of each document's whole text."""
+def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """(doc_id, ids): the tokens of each document's whole text; with decode also the text that they spell, in the same task."""
 
     def run(batches):
         own = tokenizer(path)
         for batch in batches:
             names, texts = id_column(batch, "doc_id").to_pylist(), batch.column(1)
-            ids, encoded, size = [], [], 0
+            ids, encoded, spelled, size = [], [], [] if decode else None, 0
             for doc, text in zip(names, texts, strict=True):
                 ids.append(doc)
                 encoded.append(own.encode(text.as_py() or ""))
+                if decode:
+                    spelled.append(own.decode(np.frombuffer(encoded[-1], "<i4")))
                 size += len(encoded[-1])
                 if size >= 4 * FLUSH:
-                    yield _batch(ids, encoded)
-                    ids, encoded, size = [], [], 0
+                    yield _batch(ids, encoded, spelled)
+                    ids, encoded, spelled, size = [], [], [] if decode else None, 0
             if ids:
-                yield _batch(ids, encoded)
+                yield _batch(ids, encoded, spelled)
 
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, ids array<int>")
+    return source.mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * decode)
 
 
 def decode_documents(tokens: DataFrame, path: str) -> DataFrame:

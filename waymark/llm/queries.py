@@ -64,8 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_tokenization_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    return bpe.digests(bpe.decode_documents(bpe.encode_documents(_docs(spark, sf_dir), path), path))
+    return bpe.digests(bpe.encode_documents(_docs(spark, sf_dir), tokenizer_path(), decode=True))
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
