@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import unicodedata
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Letters and what they fold to. đ has no decomposition and is mapped like the rest.
@@ -25,8 +27,38 @@ def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def _plain(text: str) -> str:
+    """Compatibility decomposition without its combining marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
+def _letters() -> tuple[str, str, str]:
+    """Characters of the basic plane that decompose to one letter, those letters, and characters that are marks alone."""
+    plain = {chr(k): _plain(chr(k)) for k in range(0x80, 0x10000) if not 0xD800 <= k < 0xE000 and chr(k) not in ACCENTED}
+    one = {c: p for c, p in plain.items() if len(p) == 1 and p != c}
+    return "".join(one), "".join(one.values()), "".join(c for c, p in plain.items() if not p)
+
+
+# By rule: Vietnamese, Greek, Cyrillic and all other letters that decompose, beside the fixed ones; marks are last and drop out.
+_FROM, _TO, _MARKS = _letters()
+FOLDED_FROM, FOLDED_TO = ACCENTED + _FROM + _MARKS, PLAIN + _TO
+
+
 def strip_diacritics(c: Column) -> Column:
-    return F.translate(c, ACCENTED, PLAIN)
+    """Letters without their marks, in the JVM; what decomposes to several letters stays (see decomposed)."""
+    return F.translate(c, FOLDED_FROM, FOLDED_TO)
+
+
+def decomposed(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds the column without diacritics, ligatures and other compatibility characters in full.
+
+    Only distinct texts that the JVM's fold leaves with characters beyond ASCII reach Python, and meet the rows again by a join.
+    """
+    folded = df.withColumn(out, strip_diacritics(F.col(column)))
+    rest = folded.where(F.col(out).rlike(r"[^\x00-\x7F]")).select(F.col(out).alias("_text")).distinct()
+    full = F.pandas_udf(lambda texts: texts.map(_plain), "string")
+    known = rest.select("_text", full("_text").alias("_full"))
+    return folded.join(known, F.col(out) == F.col("_text"), "left").withColumn(out, F.coalesce("_full", out)).drop("_text", "_full")
 
 
 def strip_type_prefix(c: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import index, merge
+from ..operators.numbering import shared_path
+from ..sources import registry
 from .catalogue import _TOKENS, Tables, query
 
 _RENEWED = _TOKENS.replace("from documents", "from (select doc_id, case when doc_id % 10 = 0 then 'renewed ' || reverse(text) else text end as text from documents)")
@@ -56,3 +58,13 @@ def stable_slugs(t: Tables) -> DataFrame:
     first = merge.resolve_identities(nobody, load(t.supplier, "s_suppkey", "s_nationkey", "s_suppkey"), "id")
     second = load(t.customer, "c_custkey", "c_nationkey", "case when c_custkey % 7 = 0 then -1 - c_custkey else c_custkey end")
     return merge.resolve_identities(first, second, "id").select("id", "slug")
+
+
+@query("""select s_suppkey as id, lower(s_name) as slug, s_name as name, 45.5::double as lat, null::bigint as duplicate_of from supplier
+union all select 1000000 + c_custkey, lower(c_name), c_name, null, case when c_custkey % 3 = 0 then c_custkey end from customer""")
+def versions_as_one(t: Tables) -> DataFrame:
+    """A table stored under two versions of its schema, suppliers under the first and customers under the second, read as one."""
+    root, table, k = shared_path(t.spark, "tables"), registry.TABLES["parishes"], F.col("c_custkey")
+    table.write(t.supplier.select(F.col("s_suppkey").alias("id"), F.lower("s_name").alias("slug"), F.col("s_name").alias("name"), F.lit("45.5").alias("lat")), root, 1)
+    table.write(t.customer.select((k + 1_000_000).alias("id"), F.lower("c_name").alias("slug"), F.col("c_name").alias("name"), F.when(k % 3 == 0, k).alias("duplicate_of")), root)
+    return table.read(t.spark, root).select("id", "slug", "name", "lat", "duplicate_of")

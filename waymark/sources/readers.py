@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,3 +145,17 @@ def features(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema("features array<struct<geometry:string,properties:struct<name:string,jls_name:string,zupanija:string,stanovnistvo:bigint,area_km2:double>>>").json(path, multiLine=True)
     out = raw.select(F.posexplode("features").alias("idx", "f")).withColumn("polygons", geo.geojson_polygons(F.col("f.geometry")))
     return out.where("size(polygons) > 0").select(F.col("idx").cast("bigint").alias("idx"), F.coalesce("f.properties.name", F.lit("")).alias("name"), F.coalesce("f.properties.jls_name", F.lit("")).alias("jls"), F.coalesce("f.properties.zupanija", F.lit("")).alias("county"), F.coalesce("f.properties.stanovnistvo", F.lit(0)).alias("population"), F.coalesce("f.properties.area_km2", F.lit(0.0)).alias("area_km2"), "polygons")
+
+
+def answers(spark: SparkSession, folder: str, requests: Sequence[Sequence[str]]) -> DataFrame:
+    """(request, used, body): the landed answer of each request, or of the next of its alternatives whose file is there and holds JSON.
+
+    Only the files that the requests name are read, one by one as whole texts; a request without any has nulls.
+    """
+    asked = [(own[0], k, other, landing_name(other)) for own in requests for k, other in enumerate(own)]
+    wanted = spark.createDataFrame(asked, "request string, nth int, used string, file string")
+    names = "{" + ",".join(sorted({a[3] for a in asked})) + "}"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder).select(F.substring_index("path", "/", -1).alias("file"), F.decode("content", "UTF-8").alias("body"))
+    whole = files.where(F.try_parse_json(F.col("body")).isNotNull())
+    best = wanted.join(whole, "file").groupBy("request").agg(F.min_by(F.struct("used", "body"), "nth").alias("a"))
+    return wanted.select("request").distinct().join(best, "request", "left").select("request", "a.used", "a.body")
