@@ -201,6 +201,35 @@ def year_of(date: Column) -> Column:
     return empty_to_null(F.regexp_extract(date, r"^(-?[0-9]{1,4})-", 1))
 
 
+# The months' names as they stand in dates.
+MONTHS = ("siječnja", "veljače", "ožujka", "travnja", "svibnja", "lipnja", "srpnja", "kolovoza", "rujna", "listopada", "studenoga", "prosinca")
+
+
+def long_date(c: Column) -> Column:
+    """'12. studenoga 2004.' of an ISO date or time; anything else stays as it is, nothing is null."""
+    day = c.try_cast("date")
+    month = F.element_at(F.array(*map(F.lit, MONTHS)), F.month(day))
+    return F.when(empty_to_null(c).isNull(), None).otherwise(F.coalesce(F.concat(F.dayofmonth(day).cast("string"), F.lit(". "), month, F.lit(" "), F.year(day).cast("string"), F.lit(".")), c))
+
+
+def local_number(n: Column, digits: int = 0) -> Column:
+    """A number with points between thousands and a decimal comma."""
+    return F.translate(F.format_number(n, digits), ",.", ".,")
+
+
+def square_kilometres(n: Column) -> Column:
+    return F.concat(local_number(F.round(n)), F.lit(" km²"))
+
+
+def local_percent(n: Column) -> Column:
+    return F.concat(F.replace(F.format_string("%.1f", n.cast("double")), F.lit("."), F.lit(",")), F.lit(" %"))
+
+
+def counted(n: Column, one: str, few: str, many: str) -> Column:
+    """A number with its noun in the right form."""
+    return F.concat(local_number(n), F.lit(" "), plural(n, one, few, many))
+
+
 def wkt_point(text: Column) -> Column:
     """struct(lat, lng) of 'Point(lng lat)'; nulls where there is none."""
     pattern = r"(?i)Point\s*\(\s*(-?[0-9.]+)\s+(-?[0-9.]+)\s*\)"

@@ -9,6 +9,7 @@ from ..functions import geo, rules, similarity, text
 from . import match, merge, spatial
 
 FILIAL_KM, SEAT_KM, ENRICH_KM, ANCHOR_M, NAME_MIN, COUNTY_SUPPORT = 25.0, 30.0, 0.15, 15_000.0, 70.0, 1
+# Kinds of legal persons that may own a church.
 OWNER_KINDS = ("zupa", "samostan", "svetiste", "parohija", "dzemat", "crkvena-opcina")
 
 
@@ -28,8 +29,10 @@ def link_parish_churches(parishes: DataFrame, buildings: DataFrame) -> DataFrame
     """(rec_id, cand_id, score, lat, lng): the church of each parish (id, name, city, lat, lng).
 
     A match too far from the parish's own seat is dropped before the church is given to the first
-    of the parishes that want it; a parish without a seat takes over the church's.
+    of the parishes that want it; a parish without a seat takes over the church's. Where parishes have a
+    column kind, only kinds that may own a church take part.
     """
+    parishes = parishes.where(F.col("kind").isin(*OWNER_KINDS)) if "kind" in parishes.columns else parishes
     asked = parishes.select(F.col("id").alias("rec_id"), "name", F.array(text.place_keys(F.col("city"))).alias("tiers"))
     found = match.best_match(asked, match.candidate_index(buildings, ["city", "settlement", "municipality"])).where("cand_id is not null").select("rec_id", "cand_id", "score")
     seats = parishes.select(F.col("id").alias("rec_id"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))

@@ -139,8 +139,13 @@ def indexed_place(city: Column, settlement: Column, municipality: Column) -> Col
     return F.coalesce(*(text.empty_to_null(F.trim(c)) for c in (city, settlement, municipality)))
 
 
-def siblings(df: DataFrame, group: str, id_: str, fields: Sequence[str], flag: str) -> DataFrame:
-    """(id, main, others): for each row of a group its flagged row's id (least one), and the others in order, itself left out."""
-    own = df.groupBy(group).agg(F.min(F.when(F.col(flag).cast("boolean"), F.col(id_))).alias("main"), F.array_sort(F.collect_list(F.struct(*fields, F.col(id_)))).alias("_all"))
-    joined = df.select(id_, group).join(own, group)
-    return joined.select(id_, "main", F.filter("_all", lambda x: x[id_] != F.col(id_)).alias("others"))
+def families(df: DataFrame, group: str, id_: str, fields: Sequence[str], flag: str) -> DataFrame:
+    """(group, main, members): each group once, with its flagged row's id (least one) and all its rows in order."""
+    return df.groupBy(group).agg(F.min(F.when(F.col(flag).cast("boolean"), F.col(id_))).alias("main"), F.array_sort(F.collect_list(F.struct(*fields, F.col(id_)))).alias("members"))
+
+
+def siblings(df: DataFrame, asked: DataFrame, group: str, id_: str, fields: Sequence[str], flag: str) -> DataFrame:
+    """(id, main, others) of the pages asked for (id): the flagged row of their group and its other rows in order. Only the groups asked for are gathered."""
+    own = asked.select(id_).join(df.select(id_, group), id_)
+    found = families(df.join(own.select(group).distinct(), group, "left_semi"), group, id_, fields, flag)
+    return own.join(found, group).select(id_, "main", F.filter("members", lambda x: x[id_] != F.col(id_)).alias("others"))

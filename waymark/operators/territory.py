@@ -88,7 +88,7 @@ def polygonize(relations: DataFrame) -> DataFrame:
 
     def rings(pdf: pd.DataFrame) -> pd.DataFrame:
         found = stitch(pdf[["x1", "y1", "x2", "y2"]].to_numpy())
-        return pd.DataFrame({"name": [pdf["name"].iloc[0]] if found else [], "rings": [[[list(p) for p in r] for r in found]] if found else []})
+        return pd.DataFrame({"name": [pdf["name"].iloc[0]], "rings": [[[list(p) for p in r] for r in found]]}, dtype=object).iloc[: int(bool(found))]
 
     return sides.groupBy("name").applyInPandas(rings, f"name string, rings {RINGS}")
 

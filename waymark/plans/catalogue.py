@@ -814,8 +814,18 @@ def browsed(t: Tables) -> DataFrame:
 
 @query("""with m as (select s_nationkey, min(s_suppkey) filter (where s_suppkey % 3 = 0) as main, count(*) as n from supplier group by s_nationkey) select s_suppkey, main, n - 1 as n_others from supplier join m using (s_nationkey)""")
 def mother_and_others(t: Tables) -> DataFrame:
-    out = search.siblings(t.supplier.withColumn("main_flag", (F.col("s_suppkey") % 3 == 0).cast("int")), "s_nationkey", "s_suppkey", ["s_name"], "main_flag")
-    return out.select("s_suppkey", "main", F.size("others").cast("bigint").alias("n_others"))
+    rows = t.supplier.withColumn("main_flag", (F.col("s_suppkey") % 3 == 0).cast("int"))
+    own = search.families(rows, "s_nationkey", "s_suppkey", ["s_name"], "main_flag")
+    return rows.join(own.select("s_nationkey", "main", (F.size("members") - 1).cast("bigint").alias("n_others")), "s_nationkey").select("s_suppkey", "main", "n_others")
+
+
+@query("""with a as (select s_suppkey, s_nationkey from supplier where s_acctbal > (select quantile_cont(s_acctbal, 0.5) from supplier)), m as (select s_nationkey, min(s_suppkey) filter (where s_suppkey % 3 = 0) as main from supplier group by s_nationkey)
+select a.s_suppkey, main, coalesce(string_agg(o.s_name, ',' order by o.s_name) filter (o.s_suppkey <> a.s_suppkey), '') as others from a join m using (s_nationkey) join supplier o on o.s_nationkey = a.s_nationkey group by all""")
+def siblings_asked(t: Tables) -> DataFrame:
+    """Pages of the suppliers above the median balance, each with the others of its nation."""
+    rows = t.supplier.withColumn("main_flag", (F.col("s_suppkey") % 3 == 0).cast("int"))
+    asked = rows.crossJoin(t.supplier.agg(F.median("s_acctbal").alias("m"))).where("s_acctbal > m")  # one row
+    return search.siblings(rows, asked, "s_nationkey", "s_suppkey", ["s_name"], "main_flag").select("s_suppkey", "main", F.array_join(F.transform("others", lambda o: o["s_name"]), ",").alias("others"))
 
 
 @query("select s_suppkey, case s_suppkey % 4 when 0 then 'city' when 1 then 'town' when 2 then 'wide' end as place from supplier")

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import territory
+from ..operators import clusters, territory
 from ..sources import sinks
-from .catalogue import Tables, query
+from .catalogue import Tables, customers, query
 
 CELLS = "g as (select x, y, ((x * x + y * 3 + x * y) % 3)::varchar as side from (select s_suppkey % 10 as x, s_suppkey // 10 as y from supplier))"
 PLACES = "p as (select c_custkey, ((c_custkey * 7919) % 10000) / 1000.0::double + 0.0003::double as lng, ((c_custkey * 104729) % ((select count(*) from supplier) * 100)) / 1000.0::double + 0.0003::double as lat, (c_custkey % 3)::varchar as diocese from customer)"
@@ -82,3 +82,16 @@ def overlap_exact(t: Tables) -> DataFrame:
     a = F.when(kind == 0, ring((0, 0), (2, 0), (0, 2))).when(kind == 1, ring((0, 0), (2, 0), (2, 2), (0, 2))).otherwise(ring((0, 0), (3, 0), (3, 3), (2.2, 3), (2.2, 1), (1, 1), (1, 3), (0, 3)))
     b = F.when(kind == 0, ring((d, 0), (d + 2, 0), (d, 2))).when(kind == 1, ring((1 - d, 1), (1, 1 - d), (d + 1, 1), (1, d + 1))).otherwise(ring((0, 1), (3, 1), (3, d + 1), (0, d + 1)))
     return t.supplier.select("s_suppkey", F.round(territory.iou(a, b), 9).alias("iou"))
+
+
+@query()
+def cluster_tree(t: Tables) -> DataFrame:
+    """Customers on the map, clustered by radius at all zooms in one pass."""
+    return clusters.cluster_tree(customers(t), "c_custkey").select("zoom", "key", "n", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"))
+
+
+@query("select z.zoom::int as zoom, count(*) as n, true as apart from customer cross join (select unnest(range(0, 12)) as zoom) z group by 1")
+def clustered_points(t: Tables) -> DataFrame:
+    """What the clusters of each zoom hold together: every point once; and at each zoom no two clusters at one place."""
+    out = clusters.cluster_tree(customers(t), "c_custkey").groupBy("zoom").agg(F.sum("n").alias("n"), (F.count_distinct("lat", "lng") == F.count("*")).alias("apart"))
+    return out
