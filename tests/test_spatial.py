@@ -1,4 +1,5 @@
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -117,3 +118,29 @@ def test_search(spark):
     assert [r.id for r in search.search_text(docs, ["name", "city"], "DURDA").collect()] == [1]
     order = spark.createDataFrame([(w,) for w in ("Žir", "Zid", "Čep", "Cap", "Dom", "Đak")], "w string").orderBy(search.locale_order(F.col("w")))
     assert [r.w for r in order.collect()] == ["Cap", "Čep", "Dom", "Đak", "Zid", "Žir"]
+
+
+def test_overlap_is_exact_for_any_rings():
+    square, bowtie = [[(0, 0), (4, 0), (4, 4), (0, 4)]], [[(0, 0), (4, 4), (4, 0), (0, 4)]]
+    assert territory.overlap_of(square, square) == (16.0, 16.0) and territory.overlap_of(square, []) == (0.0, 16.0)
+    both, either = territory.overlap_of(square, bowtie)
+    assert abs(both - 8) < 1e-12 and abs(either - 16) < 1e-12
+    holed = [*square, [(1, 1), (3, 1), (3, 3), (1, 3)]]
+    slanted = [[(2, -1), (5, 2), (2, 5), (-1, 2)]]
+    both, either = territory.overlap_of(holed, slanted)
+    # the square's corners beyond the diamond are triangles of half a unit each, and the hole lies inside the diamond
+    assert abs(both - 10) < 1e-12 and abs(either - 20) < 1e-12
+    assert territory.iou_of([[(0, 0), (1, 1)]], []) == 0.0
+
+
+def test_nearest_in_circles_at_any_density(spark):
+    r = random.Random(2)
+    pool = [(k, 45 + r.gauss(0, 0.01), 16 + r.gauss(0, 0.01), "a" if k % 2 else "b", "w") for k in range(80)] + [(90, -30.0, 170.0, "c", "w"), (91, None, 1.0, "d", "w")]
+    asked = [(k, 45 + r.gauss(0, 2), 16 + r.gauss(0, 2), r.choice("abcd"), "w") for k in range(60)]
+    schema = "id long, lat double, lng double, n string, w string"
+    got = {x.id: (x.p_id, x.circle) for x in spatial.concentric(spark.createDataFrame(asked, schema), spark.createDataFrame(pool, schema), "id", "id", ["n", "w"]).collect()}
+    apart = lambda a, b: ((a[1] - b[1]) ** 2 + ((a[2] - b[2]) * math.cos(math.radians((a[1] + b[1]) / 2))) ** 2, b[0])
+    for a in asked:
+        near = [p for p in pool if p[3] == a[3] and p[1] is not None]
+        best = min(near or [p for p in pool if p[1] is not None], key=lambda p: apart(a, p))
+        assert got[a[0]] == (best[0], 0 if near else 1)

@@ -65,9 +65,12 @@ def resolve_identities(known: DataFrame, rows: DataFrame, order: str, slug: str
     had = had.groupBy("p").agg(F.min("s").alias("_had"))
     asked = rows.withColumn("_person", key)
     persons = asked.groupBy("_person").agg(F.min_by(slug, order).alias("_wish"), F.min(order).alias("_order")).join(had, F.col("_person") == F.col("p"), "left").drop("p")
-    parted = F.struct(F.regexp_extract(slug, "^(.*)-([0-9]+)$", 1).alias("base"), F.regexp_extract(slug, "^(.*)-([0-9]+)$", 2).try_cast("bigint").alias("n"))
-    taken = known.select(F.explode(F.array(F.struct(F.col(slug).alias("base"), F.lit(1).cast("bigint").alias("n")), parted)).alias("t")).select("t.*").where("n is not null").groupBy("base").agg(F.max("n").alias("_last"))
-    fresh = persons.where("_had is null").join(taken, F.col("_wish") == F.col("base"), "left").withColumn("_n", F.row_number().over(Window.partitionBy("_wish").orderBy("_order", "_person")) + F.coalesce("_last", F.lit(0)))
+    end = lambda c: F.struct(F.regexp_extract(c, "^(.*)-([0-9]+)$", 1).alias("base"), F.regexp_extract(c, "^(.*)-([0-9]+)$", 2).try_cast("bigint").alias("n"), F.lit(False).alias("whole"))
+    whole = F.struct(F.col(slug).alias("base"), F.lit(1).cast("bigint").alias("n"), F.lit(True).alias("whole"))
+    fresh = persons.where("_had is null")
+    taken = known.select(F.explode(F.array(whole, end(F.col(slug)))).alias("t")).unionByName(fresh.select(end(F.col("_wish")).alias("t"))).select("t.*").where("n is not null").groupBy("base").agg(F.max("n").alias("_last"), F.bool_or("whole").alias("_whole"))
+    turn = F.row_number().over(Window.partitionBy("_wish").orderBy("_order", "_person")) - F.when(F.coalesce("_whole", F.lit(False)), 0).otherwise(1)
+    fresh = fresh.join(taken, F.col("_wish") == F.col("base"), "left").withColumn("_turn", turn).withColumn("_n", F.when(F.col("_turn") == 0, 1).otherwise(F.coalesce("_last", F.lit(1)) + F.col("_turn")))
     given = fresh.select("_person", F.when(F.col("_n") == 1, F.col("_wish")).otherwise(F.concat("_wish", F.lit("-"), "_n")).alias("_slug")).unionByName(persons.where("_had is not null").select("_person", F.col("_had").alias("_slug")))
     return asked.join(given, "_person").withColumn(slug, F.col("_slug")).select(*rows.columns)
 
