@@ -11,12 +11,20 @@ from .numbering import written
 THRESHOLD, MARGIN, BONUS = 82.0, 6.0, 8.0
 
 
+def with_keys(df: DataFrame, name: str) -> DataFrame:
+    """Adds nkey, tkey, hkey and kind of the names; each name's are worked out once, spread over all tasks, as the rules take far longer than a shuffle of names."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = df.select(F.col(name).alias("_name")).repartition(parts, "_name").distinct()
+    keyed = names.select("_name", text.norm_key(F.col("_name")).alias("nkey"), rules.dedication_key(F.col("_name")).alias("tkey"), F.coalesce(rules.dedication_head(F.col("_name")), F.lit("")).alias("hkey"), rules.kind_of_name(F.col("_name")).alias("kind"))
+    return df.join(keyed, F.col(name).eqNullSafe(F.col("_name"))).drop("_name")
+
+
 def candidate_index(buildings: DataFrame, places: list[str], name: str = "name", id_: str = "id", kind: str | None = None) -> DataFrame:
     """(place, cand_id, cand_nkey, cand_tkey, cand_hkey, cand_kind): one row for each building and block."""
-    named = F.col(kind) if kind else rules.kind_of_name(F.col(name))
-    base = buildings.select(F.col(id_).alias("cand_id"), F.col(name).alias("_name"), named.alias("cand_kind"), text.place_keys(*(F.col(p) for p in places)).alias("_places"))
-    keyed = base.select("cand_id", "cand_kind", text.norm_key(F.col("_name")).alias("cand_nkey"), rules.dedication_key(F.col("_name")).alias("cand_tkey"), rules.dedication_head(F.col("_name")).alias("cand_hkey"), "_places")
-    return keyed.select("*", F.explode("_places").alias("place")).drop("_places")
+    own = F.col(kind).alias("_kind") if kind else F.lit(None).cast("string").alias("_kind")
+    base = with_keys(buildings.select(F.col(id_).alias("cand_id"), F.col(name).alias("name"), own, text.place_keys(*(F.col(p) for p in places)).alias("_places")), "name")
+    keys = [F.col(c).alias(f"cand_{c}") for c in ("nkey", "tkey", "hkey")]
+    return base.select("cand_id", (F.col("_kind") if kind else F.col("kind")).alias("cand_kind"), *keys, F.explode("_places").alias("place"))
 
 
 ANY = "*"  # stands for a record without a saint
@@ -25,7 +33,7 @@ ANY = "*"  # stands for a record without a saint
 def _asked(queries: DataFrame) -> DataFrame:
     """(rec_id, tier, place) of records (rec_id, name, tiers: array of arrays of place keys) with their keys, which are computed once a record."""
     named = queries.where(F.coalesce(F.col("name"), F.lit("")) != "").select("rec_id", "name", "tiers")
-    keyed = named.withColumn("nkey", text.norm_key(F.col("name"))).withColumn("tkey", rules.dedication_key(F.col("name"))).withColumn("hkey", F.coalesce(rules.dedication_head(F.col("name")), F.lit(""))).withColumn("kind", rules.kind_of_name(F.col("name")))
+    keyed = with_keys(named, "name")
     own = ["rec_id", "nkey", "tkey", "hkey", "kind"]
     return keyed.select(*own, F.posexplode("tiers").alias("tier", "keys")).select(*own, "tier", F.explode("keys").alias("place"))
 
