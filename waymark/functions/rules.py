@@ -14,6 +14,7 @@ from .binding import let
 _BDM = r"(?:blažen\w*\s+djevic\w*\s+marij\w*|b\.?\s*d\.?\s*marij\w*|bdm|marijin\w*|gospin\w*)"
 _PRESV = r"(?:presv\.?|presvet\w*)"
 _BEZGR = r"(?:bezgr\.?|bezgrešn\w*|bezgresn\w*)"
+# Labels of mysteries by pattern, first match first.
 MYSTERIES = (
     (rf"uznesenj\w*\s+{_BDM}|{_BDM}\s+uznesenj\w*", "Uznesenje BDM"),
     (r"velik\w*\s+gosp[aoe]\w*", "Velika Gospa"),
@@ -36,9 +37,11 @@ MYSTERIES = (
     (r"svih\s+svetih", "Svi Sveti"),
     (r"pokoj?\w*\s+duš\w*|dušn\w*\s+dan", "Duše u čistilištu"),
 )
+# The saint's mark, words after which a place follows, and locatives.
 SAINT_MARK = r"\b(?:sv\.|sv\b|svet[iaoe]?[gm]?a?\b|svetih\b|bl\.|bl\b|blažen[iaoe]?[gm]?a?\b)\.?\s*"
 PLACE_AFTER = r"\s*[,(]|\s+u\s+|\s+na\s+|\s+kod\s+|\s+pri\s+|\s+–\s+|\s+-\s+"
 LOCATIVES = ("u", "na", "kod", "iz")
+# saints' names in the genitive and what they are in the nominative.
 NOMINATIVES = {
     "marka": "Marko", "ivana": "Ivan", "petra": "Petar", "pavla": "Pavao", "jurja": "Juraj", "mihovila": "Mihovil", "mihaela": "Mihael", "nikole": "Nikola", "antuna": "Antun", "josipa": "Josip",
     "franje": "Franjo", "roka": "Rok", "vida": "Vid", "duje": "Duje", "dujma": "Dujam", "blaža": "Blaž", "martina": "Martin", "jakova": "Jakov", "filipa": "Filip", "kuzme": "Kuzma", "damjana": "Damjan",
@@ -48,13 +51,16 @@ NOMINATIVES = {
     "tome": "Toma", "matije": "Matija", "mateja": "Matej", "luke": "Luka", "grgura": "Grgur", "jeronima": "Jeronim", "ambrozija": "Ambrozije", "augustina": "Augustin", "alojzija": "Alojzije", "ignacija": "Ignacije",
     "križa": "Križ", "duha": "Duh", "obitelji": "Obitelj",
 }
+# Epithets likewise.
 EPITHETS = {
     "krstitelja": "Krstitelj", "evanđelista": "Evanđelist", "evanđeliste": "Evanđelist", "evandelista": "Evanđelist", "apostola": "Apostol", "biskupa": "Biskup", "mučenika": "Mučenik", "mucenika": "Mučenik",
     "prvomučenika": "Prvomučenik", "opata": "Opat", "kralja": "Kralj", "arkanđela": "Arkanđel", "arkandela": "Arkanđel", "djevice": "Djevica", "udovice": "Udovica", "pustinjaka": "Pustinjak",
     "ispovjedatelja": "Ispovjedatelj", "padovanskog": "Padovanski", "asiškog": "Asiški", "asiskog": "Asiški", "sijenske": "Sijenska", "aleksandrijske": "Aleksandrijska", "labudske": "Labudska", "bosanske": "Bosanska",
 }
+# Kinds of buildings.
 KINDS = ("katedrala", "bazilika", "svetiste", "samostan", "dzamija", "sinagoga", "pravoslavna-crkva", "kapela", "poklonac", "crkva", "ostalo")
 MINOR_KINDS = ("poklonac",)
+# Kinds by words of a name, first match first.
 NAME_RULES = (
     (r"\bkatedral|\bstolna\s+crkva|\bprvostolnic", "katedrala"),
     (r"\bbazilik", "bazilika"),
@@ -66,17 +72,20 @@ NAME_RULES = (
     (r"\bkapel|\bkapelic", "kapela"),
     (r"\bcrkv|\bhram\b", "crkva"),
 )
+# Kinds, faiths and labels by tags.
 BUILDING_KINDS = {"cathedral": "katedrala", "basilica": "bazilika", "chapel": "kapela", "mosque": "dzamija", "synagogue": "sinagoga", "monastery": "samostan", "church": "crkva", "temple": "crkva", "shrine": "poklonac", "wayside_shrine": "poklonac"}
 GENERIC_BUILDINGS = ("church", "temple")
 CHURCH_TYPES = {"cathedral": "katedrala", "basilica": "bazilika", "chapel": "kapela", "shrine": "svetiste", "monastery": "samostan"}
 ORTHODOX = ("serbian_orthodox", "orthodox", "eastern_orthodox", "macedonian_orthodox", "russian_orthodox", "bulgarian_orthodox", "romanian_orthodox")
 RELIGION_KINDS = {"muslim": "dzamija", "jewish": "sinagoga", "christian": "crkva"}
 CHRISTIAN_KINDS = ("crkva", "kapela", "katedrala", "bazilika", "svetiste", "samostan", "pravoslavna-crkva", "poklonac")
+# Labels of denominations.
 DENOMINATIONS = {
     "roman_catholic": "rimokatolička", "catholic": "katolička", "greek_catholic": "grkokatolička", "serbian_orthodox": "srpska pravoslavna", "orthodox": "pravoslavna", "eastern_orthodox": "pravoslavna",
     "macedonian_orthodox": "makedonska pravoslavna", "protestant": "protestantska", "evangelical": "evangelička", "lutheran": "luteranska", "reformed": "reformirana", "calvinist": "kalvinistička", "baptist": "baptistička",
     "pentecostal": "pentekostna", "adventist": "adventistička", "jehovahs_witness": "Jehovini svjedoci", "sunni": "sunitska", "jewish": "židovska", "old_catholic": "starokatolička",
 }
+# Kinds of legal persons in the register, first match first.
 REGISTRY_RULES = (
     (r"^\s*ŽUPA\b", "zupa"),
     (r"^\s*(NAD)?BISKUPIJA\b|\bNADBISKUPIJA\s*$|\bBISKUPIJA\s*$", "biskupija"),
@@ -85,6 +94,7 @@ REGISTRY_RULES = (
     (r"\bCARITAS\b", "caritas"),
     (r"\bSVETIŠTE\b", "svetiste"),
 )
+# Faiths of communities, first match first.
 COMMUNITY_RULES = (
     (r"SRPSKA\s+PRAVOSLAVNA", ("christian", "serbian_orthodox")), (r"MAKEDONSKA\s+PRAVOSLAVNA", ("christian", "macedonian_orthodox")), (r"BUGARSKA\s+PRAVOSLAVNA", ("christian", "bulgarian_orthodox")),
     (r"PRAVOSLAVN", ("christian", "orthodox")), (r"ISLAMSK|MUSLIMANSK", ("muslim", "sunni")), (r"ŽIDOVSK|JEVREJSK|IZRAELITSK", ("jewish", "jewish")), (r"EVANGELIČK|LUTERANSK", ("christian", "evangelical")),
@@ -92,6 +102,7 @@ COMMUNITY_RULES = (
     (r"JEHOVIN", ("christian", "jehovahs_witness")), (r"GRKOKATOLIČK|KRIŽEVAČK", ("christian", "greek_catholic")), (r"STAROKATOLIČK", ("christian", "old_catholic")), (r"METODIST", ("christian", "methodist")),
     (r"KRIST|CRKV|EVANĐEO|EVANDEO", ("christian", "protestant")), (r"BUDIST", ("buddhist", "buddhist")), (r"HINDU|VAIŠNAV|VAISNAV", ("hindu", "hindu")),
 )
+# Kinds of organisational forms, first match first.
 ORGANISATION_RULES = (
     (r"\bPAROHIJA\b|\bCRKVEN\w*\s+OPĆIN\w*\b.*PRAVOSLAV", "parohija"),
     (r"\bDŽEMAT\b|\bMEDŽLIS\b|\bMEDZLIS\b", "dzemat"),
@@ -99,7 +110,9 @@ ORGANISATION_RULES = (
     (r"\bEPARHIJA\b|\bMITROPOLIJA\b", "eparhija"),
     (r"\bMANASTIR\b|\bSAMOSTAN\b", "samostan"),
 )
+# Dedications that are too common to decide.
 GENERIC_DEDICATIONS = ("majka bozja",)
+# Classes of error messages.
 ERROR_RULES = (("ip address restriction", "ip-restricted"), ("api_key_ip_address_blocked", "ip-restricted"), ("referer", "referer-restricted"), ("has not been used", "api-disabled"), ("disabled", "api-disabled"), ("not enabled", "api-disabled"))
 
 

@@ -13,6 +13,7 @@ from ..functions import geo, rules, text
 FOREIGN = ("slovenija", "slovenia", "bosna i hercegovina", "bosnia", "bih", "srbija", "serbia", "crna gora", "montenegro", "italija", "italy", "mađarska", "hungary", "austrija", "austria")  # fixed values
 SACRAL = ("church", "place_of_worship", "mosque", "synagogue", "hindu_temple", "cemetery")  # fixed values
 DEFAULT_NAMES = {"kapela": "Kapela", "poklonac": "Poklonac", "crkva": "Crkva"}  # fixed values
+# The register's classes of sacral heritage.
 HERITAGE_CLASSES = ("sakralna graditeljska baština", "sakralno-profana graditeljska baština")
 
 
