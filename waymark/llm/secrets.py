@@ -6,7 +6,7 @@ adding one character and taking away another, and sum(c * log2 c) changes with t
 costs two table look-ups. A candidate is a secret if a window's Shannon entropy reaches its class's
 limit; what an allow rule covers (dates, ids, placeholders, one character over and over, ascending
 rows) is cut out first, so it suppresses the windows that touch it and not the rest of a candidate,
-and so are pieces that read like words. Paths and URLs are judged part by part, and a candidate
+and so are pieces that read like words, also with separators, numbers or dates between them. Paths and URLs are judged part by part, and a candidate
 beside a fixed format by what is left of it. MIN_RUN is the least length of a candidate: shorter
 keys are found by the fixed formats only.
 
@@ -39,7 +39,8 @@ _LOG = [0.0] + [k * math.log2(k) for k in range(1, WINDOW + 1)]
 ALLOWED = [re.compile(p) for p in (r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", r"(?i)example|placeholder|changeme|your[-_]", r"(.)\1{5,}", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", r"^[-_.=+/]+$")]
 #: Characters in a row that make an ascending one, such as 0123456 or abcdef.
 ASCENDING = 5
-_LETTERS = re.compile(r"[A-Za-z]+([-_./=+]+[A-Za-z]+)*[-_./=+]*")
+#: Words between separators, each with digits at one end at most or none: names of things, numbered or dated. Keys mix letters and digits more than once.
+_NAMES = re.compile(r"[-_./=+]*([A-Za-z]+[0-9]*|[0-9]+[A-Za-z]*)([-_./=+]+([A-Za-z]+[0-9]*|[0-9]+[A-Za-z]*))*[-_./=+]*")
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _PLAIN = re.compile(r"[A-Za-z]+([-_.][A-Za-z0-9]+)*|v?[0-9.]{1,4}")
 #: Pairs of letters that are common in words; of random pairs two in five are among them.
@@ -99,6 +100,12 @@ def natural(s: str) -> bool:
     return sum(map(len, pieces)) >= 3 * len(pieces) and sum(x in _PAIRS for x in pairs) >= 0.7 * len(pairs)
 
 
+def _named(s: str) -> bool:
+    """Whether a piece is a name: its letters are most of it and form words, and digits stand beside them in blocks."""
+    letters = sum(c.isalpha() for c in s)
+    return 2 * letters >= sum(c.isalnum() for c in s) > 0 and _NAMES.fullmatch(s) is not None and natural(s)
+
+
 def _ascending(s: str) -> list[tuple[int, int]]:
     """Spans of at least ASCENDING characters each of which follows the one before it."""
     cuts = [0, *(k for k in range(1, len(s)) if ord(s[k]) != ord(s[k - 1]) + 1), len(s)]
@@ -111,7 +118,7 @@ def _dense(s: str) -> bool:
     at = 0
     for a, b in [*covered, (len(s), len(s))]:
         piece = s[at:a]
-        if len(piece) >= WINDOW and not (_LETTERS.fullmatch(piece) and natural(piece)) and window_entropy(piece) >= LIMITS[char_class(piece)]:
+        if len(piece) >= WINDOW and not _named(piece) and window_entropy(piece) >= LIMITS[char_class(piece)]:
             return True
         at = max(at, b)
     return False
