@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what it returns is written as
 Parquet in the shared folder and read again as the next stage's docs. All stages but the last
 return the columns of documents.
+
+Defined cases: null and empty texts fail the quality rules and go; a null id goes through like any
+other, before all numbers where order counts; of documents with equal texts the one with the least id
+stays in the near-duplicate join, and rows of one id stay or go together; texts of any length pass whole; further columns of documents, whatever their
+names, are carried to the last stage; an empty table gives no pieces.
 """
 
 from __future__ import annotations

@@ -59,3 +59,29 @@ def test_run_matches_the_plain_chain(spark, tmp_path):
     for p in pieces:
         got[p.doc_id] = got.get(p.doc_id, 0) + p.length
     assert got == sizes
+
+
+def test_run_handles_odd_rows_and_columns(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = [(k, "\n".join(lines(k, 8))) for k in range(12)]
+    rows += [(20, None), (21, ""), (22, "\n\n"), (23, rows[3][1]), (3, rows[3][1]), (24, "\n".join(lines(500, 5000)))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    # names that the stages use themselves
+    for name in ("lines", "spans", "ratio", "kept", "class", "component_id"):
+        docs = docs.withColumn(name, F.lit("x"))
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, prose(3, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = {r.doc_id for r in quality.quality_signals(docs).collect() if r.kept}
+    assert kept.isdisjoint({20, 21, 22}) and 24 in kept
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    whole = {}
+    for p in pieces:
+        whole[p.doc_id] = whole.get(p.doc_id, 0) + p.length
+    assert set(whole) == kept - {23} and all(p.doc_tokens * (2 if p.doc_id == 3 else 1) == whole[p.doc_id] for p in pieces)
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, prose(3, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

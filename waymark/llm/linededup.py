@@ -12,7 +12,8 @@ by Spark where they are skewed.
 
 Defined cases: a null text has no lines and stays null; an empty text is one empty line; chunks
 without a visible character are never removed; null ids come first; rows with equal id and text
-are one document and all get the same result; other columns stay as they are, whatever their names.
+are one document and all get the same result; a text of any length is one row, its lines an array; an
+empty table gives no rows; other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations

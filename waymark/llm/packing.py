@@ -11,7 +11,8 @@ these numbers global. The pieces of each class's last, unfilled bin (fewer than
 so a constant in all, whatever the input) are packed together by first fit.
 
 Defined cases: a null or empty text is the end token alone; a null id stays null; repeated rows
-are packed one by one; other columns are ignored.
+are packed one by one; a text of any length is cut into as many pieces as it takes, one document
+being in memory at a time; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

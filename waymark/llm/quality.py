@@ -8,7 +8,8 @@ limits of their own, between those of random words and of documents labelled goo
 told apart from 1 KB on, words of letters and digits from 256 bytes on.
 
 Defined cases: a null or empty text has no words and fails; a null id is kept as null; repeated
-rows are judged one by one; other columns of any name are ignored.
+rows are judged one by one, so ties get the same verdict; a text of any length is judged whole, chunk
+by chunk; an empty table gives no rows; other columns of any name are ignored.
 """
 
 from __future__ import annotations
