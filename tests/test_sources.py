@@ -83,4 +83,10 @@ def test_stream_merges_each_record_once(spark, tmp_path):
     assert run() == {1: ("b", "y"), 2: ("c", None), 3: ("d", None)}
     (landed / "3.json").write_text('{"id":4,"name":"e","seq":1}\n')
     assert run() == {1: ("b", "y"), 2: ("c", None), 3: ("d", None), 4: ("e", None)}
-    assert sorted(p.name for p in table.iterdir()) == ["version=00000001", "version=00000002"]
+    # the last batch wrote the one bucket of its key
+    assert len(list(table.glob("version=00000002/bucket=*"))) == 1
+    for n in range(4, 8):
+        (landed / f"{n}.json").write_text(f'{{"id":1,"name":"n{n}","seq":{n}}}\n')
+        assert run()[1] == (f"n{n}", "y")
+    first = [p.parent.name for p in sorted(table.glob("version=*/bucket=*")) if "00000006" in {q.parent.name.split("=")[1] for q in table.glob(f"version=*/{p.name}")}]
+    assert first == ["version=00000005", "version=00000006"]
