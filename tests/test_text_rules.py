@@ -96,3 +96,8 @@ def test_small_functions(spark):
 @pytest.mark.parametrize("message,label", [("requests blocked: API_KEY_IP_ADDRESS_BLOCKED", "ip-restricted"), ("Requests from referer empty", "referer-restricted"), ("API has not been used", "api-disabled"), ("other", "unknown")])
 def test_error_classes(spark, message, label):
     assert values(spark, [(message,)], "m string", rules.error_class(F.col("m"))) == [(label,)]
+
+
+def test_house_numbers_of_five_digits_are_no_zip_codes(spark):
+    houses = values(spark, [("Ulica 12345",), ("Ulica 12345, 10 100 Grad",), ("Ulica bb 10000 Zagreb",), ("10 000",), (None,)], "a string", text.address_ladder(F.lit(""), F.col("a"), F.lit("")))
+    assert [[x.split(",")[0] for x in steps if x[0].isdigit()] for steps, in houses] == [[], ["10100"], ["10000"], ["10 000", "10000"], []]

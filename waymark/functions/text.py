@@ -159,10 +159,18 @@ def query_ladder(name: Column, city: Column, address: Column) -> Column:
     return F.array_distinct(F.filter(texts, lambda q: q.isNotNull()))
 
 
+def _joined_digits(c: Column) -> Column:
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"([0-9])\s+(?=[0-9])", "$1")
+
+
 def zip_code(c: Column) -> Column:
     """A number of exactly five digits, digits parted by spaces joined first."""
-    joined = F.regexp_replace(F.coalesce(c, F.lit("")), r"([0-9])\s+(?=[0-9])", "$1")
-    return empty_to_null(F.regexp_extract(joined, r"(?<![0-9])([0-9]{5})(?![0-9])", 1))
+    return empty_to_null(F.regexp_extract(_joined_digits(c), r"(?<![0-9])([0-9]{5})(?![0-9])", 1))
+
+
+def address_zip(c: Column) -> Column:
+    """The zip code of an address: it begins a part or stands before a town's name; a house number of five digits does neither."""
+    return empty_to_null(F.regexp_extract(_joined_digits(c), r"(?:(?:^|,)\s*|(?<![0-9])(?=[0-9]{5}\s+\p{L}{2}))([0-9]{5})(?![0-9])", 1))
 
 
 def address_ladder(county: Column, address: Column, city: Column, country: str = "Hrvatska") -> Column:
@@ -172,7 +180,7 @@ def address_ladder(county: Column, address: Column, city: Column, country: str =
     parts = F.filter(F.transform(F.split(street, ","), lambda p: F.trim(p)), lambda p: p != "")
     parts = F.when(F.lower(F.element_at(F.concat(F.array(F.lit("")), parts), -1)) == country.lower(), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
     tail = F.when(F.size(parts) >= 3, F.concat_ws(", ", F.slice(parts, -2, 2)))
-    code = F.coalesce(zip_code(street), zip_code(town))
+    code = F.coalesce(address_zip(street), zip_code(town))
     out = F.array(F.when(street != "", street), F.when(street != "", tail), code, F.when((town != "") & (region != ""), F.concat_ws(", ", town, region)), F.when(town != "", town))
     return F.array_distinct(F.transform(F.filter(out, lambda q: q.isNotNull()), lambda q: F.concat(q, F.lit(f", {country}"))))
 
