@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.operators import publish, upkeep
+from waymark.plans import upkeep as plans
 
 
 def test_pages_keep_persons_without_buildings_and_drop_kinds_without_pages(spark):
@@ -60,3 +61,10 @@ def test_clusters_by_zoom(spark):
 def test_markup_leaves_out_what_is_empty(spark):
     row = spark.createDataFrame([("a", "/a", "A", 45.0, 16.0, "", None)], "slug string, path string, name string, lat double, lng double, address string, city string")
     assert json.loads(publish.place_markup(row, "https://a.b/").first().document) == {"@context": "https://schema.org", "@type": "PlaceOfWorship", "name": "A", "url": "https://a.b/a", "geo": {"@type": "GeoCoordinates", "latitude": 45.0, "longitude": 16.0}}
+
+
+def test_a_number_is_asked_of_names_and_not_of_towns(spark, tmp_path):
+    spark.createDataFrame([(k, f"Supplier#{k}", 1) for k in (12, 15, 16)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(7, "Customer#7")], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    found = plans.QUERIES["browsed_persons"](spark, str(tmp_path))  # 16 is of the town Č5
+    assert sorted(r.slug for r in found.collect()) == ["s-12", "s-15"]

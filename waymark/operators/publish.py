@@ -51,9 +51,9 @@ def lookup(asked: DataFrame, table: DataFrame, keys: Sequence[str], fields: Sequ
     return asked.join(table.select(*keys, *fields), list(keys), "left")
 
 
-def browse_persons(pages: DataFrame, part: str = "", diocese: str | None = None, only_gaps: bool = False) -> DataFrame:
-    """Pages of one diocese, of those without a parish church, with a folded part of text in name, short name or city."""
-    out = search.browse(pages, ["name", "short_name", "city"], part, equal={"diocese": diocese} if diocese else None)
+def browse_persons(pages: DataFrame, part: str = "", diocese: str | None = None, only_gaps: bool = False, columns: Sequence[str] = ("name", "short_name", "city")) -> DataFrame:
+    """Pages of one diocese, of those without a parish church, with a folded part of text in name, short name or city, or in fewer columns."""
+    out = search.browse(pages, columns, part, equal={"diocese": diocese} if diocese else None)
     return out.where(F.coalesce(F.col("has_parish_church"), F.lit(0)) != 1) if only_gaps else out
 
 
