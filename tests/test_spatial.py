@@ -144,3 +144,25 @@ def test_nearest_in_circles_at_any_density(spark):
         near = [p for p in pool if p[3] == a[3] and p[1] is not None]
         best = min(near or [p for p in pool if p[1] is not None], key=lambda p: apart(a, p))
         assert got[a[0]] == (best[0], 0 if near else 1)
+
+
+def test_nearest_of_crowded_points_meets_few_of_them(spark, monkeypatch):
+    r, met = random.Random(4), []
+    within = spatial.within
+    monkeypatch.setattr(spatial, "within", lambda *a: met.append(within(*a)) or met[-1])
+    spots = [(45 + r.gauss(0, 0.1), 16 + r.gauss(0, 0.1)) for _ in range(60)] + [(45.9, 16.9), (48.0, 16.0)]
+    asked = [(k, *spots[k % len(spots)]) for k in range(300)] + [(900, None, 16.0)]
+    pool = [(k, 45 + r.gauss(0, 0.1), 16 + r.gauss(0, 0.1)) for k in range(400)]
+    pool += [(k + 400, lat, lng) for k, lat, lng in pool[:200]] + [(999, 45.0, None)]
+    schema = "id long, lat double, lng double"
+    left, right = spark.createDataFrame(asked, schema), spark.createDataFrame(pool, schema)
+    want = {}
+    for x in within(left, right, 90.0).collect():
+        want[x.id] = min(want.get(x.id, (math.inf, 0)), (x.metres, x.r_id))
+    assert 0 < len(want) < 300
+    got = {x.id: (x.metres, x.r_id) for x in spatial.nearest_within(left, right, "id", "id", 90.0).collect()}
+    assert got == want and len(met) > 2 and sum(m.count() for m in met) < 3_000  # over 100,000 pairs in the whole radius
+    even = {x.id: (x.metres, x.r_id) for x in spatial.nearest_within(left, right, "id", "id", 90.0, F.col("r_id") % 2 == F.col("id") % 2).collect()}
+    for x in within(left, right, 90.0).where("id % 2 = r_id % 2").collect():
+        assert even[x.id] <= (x.metres, x.r_id)
+    assert even.keys() == want.keys()

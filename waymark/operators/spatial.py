@@ -11,6 +11,8 @@ from .numbering import written
 POLYGON_CELL, POINT_CELL = 0.1, 0.01
 #: Points that one key of a cell takes; a cell with more is split.
 DENSE = 20_000
+#: Points in a cell of the first radius of a nearest search, and how often its radius is halved at most for that.
+FEW, HALVINGS = 16, 7
 
 
 def _met(left: DataFrame, right: DataFrame, degrees: float, prefix: str, also: tuple[str, ...] = ()) -> DataFrame:
@@ -32,12 +34,43 @@ def within(left: DataFrame, right: DataFrame, radius_km: float, prefix: str = "r
     return met.withColumn("metres", geo.haversine_m(F.col("lat"), F.col("lng"), F.col(f"{prefix}lat"), F.col(f"{prefix}lng"))).where(F.col("metres") <= radius_km * 1000)
 
 
+def _reaches(pool: DataFrame, radius_km: float) -> list[float]:
+    """Radii that double up to the whole one; the first is the widest whose cells hold at most FEW points of the pool each."""
+    ladder = [radius_km / 2**k for k in range(HALVINGS + 1)]
+    cells = F.array(*(F.struct(F.lit(k).alias("k"), geo.cell(F.col("lat"), F.col("lng"), geo.degrees_of(km)).alias("c")) for k, km in enumerate(ladder)))
+    held = pool.select(F.explode(cells).alias("x")).groupBy("x.k", "x.c").agg(F.count("*").alias("n"))
+    crowded = held.groupBy("k").agg(F.max("n").alias("n")).where(F.col("n") > FEW).agg(F.max("k")).first()[0]
+    return ladder[: 1 if crowded is None else crowded + 2][::-1]
+
+
 def nearest_within(left: DataFrame, right: DataFrame, left_id: str, right_id: str, radius_km: float, accept: Column | None = None) -> DataFrame:
-    """(left_id, r_<right_id>, metres) of the nearest acceptable right point; ties go to the smaller id."""
-    met = within(left, right, radius_km)
-    if accept is not None:
-        met = met.where(accept)
-    return met.groupBy(left_id).agg(F.min(F.struct("metres", f"r_{right_id}")).alias("n")).select(left_id, f"n.r_{right_id}", "n.metres")
+    """(left_id, r_<right_id>, metres) of the nearest acceptable right point; ties go to the smaller id.
+
+    Points ask first within a radius that fits where right points lie densest; those that found nothing
+    ask again at twice the radius, up to the whole one. So nobody meets all points of a wide circle where
+    near ones are enough. Without a condition, points at one spot ask once, and right points at one spot
+    are one, that of the smallest id.
+    """
+    known = written(left.where("lat is not null and lng is not null"), "left")
+    pool = right.where("lat is not null and lng is not null")
+    if accept is None:
+        known, own = known.select(left_id, "lat", "lng"), ["lat", "lng"]
+        pool, rest = pool.groupBy("lat", "lng").agg(F.min(right_id).alias(right_id)), known.select(*own).distinct()
+    else:
+        own, rest = [left_id], known
+    pool, out = written(pool, "pool"), None
+    for km in _reaches(pool, radius_km):
+        met = within(rest, pool, km)
+        if accept is not None:
+            met = met.where(accept)
+        best = written(met.groupBy(*own).agg(F.min(F.struct("metres", f"r_{right_id}")).alias("n")), "nearest")
+        out = best if out is None else out.unionByName(best)
+        if km < radius_km:
+            rest = written(rest.join(best, own, "left_anti"), "rest")
+            if rest.isEmpty():
+                break
+    found = known.select(left_id, *own).join(out, own) if accept is None else out
+    return found.groupBy(left_id).agg(F.min("n").alias("n")).select(left_id, f"n.r_{right_id}", "n.metres")
 
 
 def contained(points: DataFrame, layer: DataFrame, point_id: str, feature: str = "idx", polygons: str = "polygons", cell: float = POLYGON_CELL) -> DataFrame:
