@@ -37,3 +37,11 @@ def test_equals_taking_points_one_by_one(spark, monkeypatch):
     monkeypatch.setattr(clusters, "FEW", 10)  # the zooms with more nodes by rounds of joins
     many = {(x.zoom, x.key): (x.n, round(x.lat, 7), round(x.lng, 7)) for x in clusters.cluster_tree(points, "id", most_zoom=9).collect() if x.zoom > 6}
     assert many == few
+
+
+def test_points_at_one_spot_are_one_node(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(clusters, "written", lambda df, tag: sizes.append((tag, df.count())) or df)
+    points = spark.range(300).select("id", (F.col("id") % 3 + 44.0).alias("lat"), F.lit(16.0).alias("lng"))
+    top = clusters.cluster_tree(points, "id", most_zoom=0).collect()
+    assert sum(r.n for r in top) == 300 and dict(sizes)["points"] == 3

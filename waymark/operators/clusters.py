@@ -98,13 +98,15 @@ def in_one_task(pdf: pd.DataFrame, zooms: list[int], radius_px: float) -> pd.Dat
 def cluster_tree(points: DataFrame, key: str, radius_px: float = RADIUS_PX, most_zoom: int = MOST_ZOOM) -> DataFrame:
     """(zoom, key, n, lat, lng): the clusters of each zoom from most_zoom down to 0, at their points' mean on the map.
 
-    Points without a place are left out; two at one spot are one cluster at every zoom; beyond most_zoom nothing is clustered.
+    Points without a place are left out; two at one spot are one cluster at every zoom, so they are one
+    node from the start, by the first of their keys; beyond most_zoom nothing is clustered.
     """
     s = F.sin(F.radians("lat"))
     y = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.5 - F.log((1 + s) / (1 - s)) / (4 * F.pi())))
     known = points.where("lat is not null and lng is not null and abs(lat) < 90")
     name = F.col(key).cast("string")
-    nodes = written(known.select(name.alias("key"), F.xxhash64(name).alias("ord"), F.lit(1).cast("bigint").alias("n"), (F.col("lng") / 360 + 0.5).alias("x"), y.alias("y")), "points")
+    spots = known.select(F.struct(F.xxhash64(name).alias("ord"), name.alias("key")).alias("first"), (F.col("lng") / 360 + 0.5).alias("x"), y.alias("y")).groupBy("x", "y").agg(F.min("first").alias("first"), F.count("*").alias("n"))
+    nodes = written(spots.select("first.key", "first.ord", "n", "x", "y"), "points")
     levels, zooms = [], list(range(most_zoom, -1, -1))
     while zooms and nodes.limit(FEW + 1).count() > FEW:
         nodes = _one_zoom(nodes, zooms[0], radius_px)
