@@ -14,13 +14,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import search
 from .numbering import shared_path, written
 
-BUCKETS, BLOCK, LEAD = 64, 4096, 2
+BUCKETS, BLOCK, LEAD, SPREAD = 64, 4096, 2, 8
 
 
 def bucket_of(token: Column) -> Column:
@@ -59,19 +59,29 @@ class StoredIndex:
         if load > 1:
             known = self._read("documents", f"id {self.id_type}, load int")
             ids.join(known.select("id").distinct(), "id", "left_semi").select("id", F.lit(load).alias("load")).write.mode("append").parquet(f"{self.path}/replaced")
-        tokens = search.token_index(own, self.id, columns).select("token", F.col(self.id).cast(self.id_type).alias("id")).distinct()
-        spread = written(tokens.withColumn("bucket", bucket_of(F.col("token"))), "tokens")
-        # a common token's list is cut into blocks by the ids' hashes, as many as its frequency asks for
-        terms = written(spread.groupBy("bucket", "token").agg(F.count("*").alias("n")).withColumn("load", F.lit(load)), "terms")
-        blocks = spread.join(terms.withColumn("blocks", F.ceil(F.col("n") / (BLOCK / 2)).cast("int")), ["bucket", "token"])
-        lists = blocks.groupBy("bucket", "token", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).agg(F.array_sort(F.collect_list("id")).alias("ids"))
-        out = lists.select("token", F.lit(load).alias("load"), "block", F.size("ids").cast("bigint").alias("n"), "ids", "bucket")
-        out.repartition("bucket").sortWithinPartitions("token").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/postings")
-        terms.select("token", "load", "n", "bucket").repartition("bucket").sortWithinPartitions("token").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/terms")
+        words = own.select(F.col(self.id).cast(self.id_type).alias("id"), search.tokens(columns).alias("tokens"))
+        pairs = written(words, "tokens").select("id", F.explode("tokens").alias("token"))
+        counts = pairs.groupBy("token").agg(F.count("*").alias("n"))
+        self._write_lists(pairs, counts, load)
         ids.select("id", F.lit(load).alias("load")).write.mode("append").parquet(f"{self.path}/documents")
         ids.agg(F.lit(load).alias("load"), F.count("*").alias("n")).write.mode("append").parquet(f"{self.path}/loads")
         return load
 
+    def _write_lists(self, pairs: DataFrame, counts: DataFrame, load: int) -> None:
+        """Adds the load's postings and terms from (id, token) and (token, n), n being at least the token's documents.
+
+        A common token's list is cut into blocks by the ids' hashes, as many as its frequency asks for, and
+        its blocks are written by several tasks. Only common tokens are joined to the pairs, which are
+        shuffled once; equal pairs fall together in their block.
+        """
+        common = written(counts.where(F.col("n") > BLOCK / 2).select("token", F.ceil(F.col("n") / (BLOCK / 2)).cast("int").alias("blocks")), "common")
+        block = F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int").alias("block")
+        lists = pairs.join(common, "token", "left").select("token", "id", block).groupBy("token", "block").agg(F.array_distinct(F.array_sort(F.collect_list("id"))).alias("ids"))
+        out = lists.select("token", F.lit(load).alias("load"), "block", F.size("ids").cast("bigint").alias("n"), "ids", bucket_of(F.col("token")).alias("bucket"))
+        out.repartition("bucket", F.col("block") % SPREAD).sortWithinPartitions("token").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/postings")
+        terms = self.postings().where(F.col("load") == load).groupBy("bucket", "token").agg(F.sum("n").alias("n"))
+        terms.select("token", F.lit(load).alias("load"), "n", "bucket").repartition("bucket").sortWithinPartitions("token").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/terms")
+
     def _of(self, table: DataFrame, word: str) -> DataFrame:
         """Rows of the tokens that a word means: itself or, with a star, those that it begins."""
         begin = word[:-1] if word.endswith("*") else word
@@ -107,14 +117,11 @@ class StoredIndex:
     def compact(self) -> StoredIndex:
         """The same index as one load in a fresh folder, without replaced documents."""
         fresh = StoredIndex(self.spark, shared_path(self.spark, "index"), self.id, self.id_type)
-        ids = self.postings().select("bucket", "token", "load", F.explode("ids").alias("id"))
+        ids = self.postings().select("token", "load", F.explode("ids").alias("id"))
         if self._exists("replaced"):
             last = self.replaced().groupBy("id").agg(F.max("load").alias("last"))
             ids = ids.join(last, "id", "left").where("last is null or load >= last")
-        lists = ids.withColumn("n", F.count("*").over(Window.partitionBy("token"))).withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (BLOCK / 2)).cast("int")).cast("int"))
-        out = written(lists.groupBy("bucket", "token", "block").agg(F.array_sort(F.collect_list("id")).alias("ids")), "lists")
-        out.select("token", F.lit(1).alias("load"), "block", F.size("ids").cast("bigint").alias("n"), "ids", "bucket").repartition("bucket").sortWithinPartitions("token").write.partitionBy("bucket").parquet(f"{fresh.path}/postings")
-        out.groupBy("token", "bucket").agg(F.sum(F.size("ids")).cast("bigint").alias("n")).select("token", F.lit(1).alias("load"), "n", "bucket").repartition("bucket").sortWithinPartitions("token").write.partitionBy("bucket").parquet(f"{fresh.path}/terms")
+        fresh._write_lists(ids.select("id", "token"), self.terms().groupBy("token").agg(F.sum("n").alias("n")), 1)
         documents = self._read("documents", f"id {self.id_type}, load int").select("id").distinct().select("id", F.lit(1).alias("load"))
         documents.write.parquet(f"{fresh.path}/documents")
         documents.agg(F.lit(1).alias("load"), F.count("*").alias("n")).write.parquet(f"{fresh.path}/loads")

@@ -25,7 +25,12 @@ def index_fold(c: Column) -> Column:
 
 def token_index(df: DataFrame, id_: str, columns: Sequence[str]) -> DataFrame:
     """(id, token): distinct folded words of all indexed columns."""
-    return df.select(id_, F.explode(F.array_distinct(_tokens(columns))).alias("token"))
+    return df.select(id_, F.explode(tokens(columns)).alias("token"))
+
+
+def tokens(columns: Sequence[str]) -> Column:
+    """Distinct folded words of all indexed columns of a row."""
+    return F.array_distinct(_tokens(columns))
 
 
 def _tokens(columns: Sequence[str]) -> Column:
