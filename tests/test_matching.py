@@ -158,3 +158,13 @@ def test_equal_records_and_candidates_are_judged_once(spark, monkeypatch):
     assert {found[k] for k in range(300)} == {(None, None, "ambiguous"), (0, 0, "matched")} and all(found[k][0] == 0 for k in range(2, 300, 3)) and len(found) == 305
     assert [found[k] for k in range(900, 905)] == [(None, None, "no candidates"), (None, None, "no candidates"), (None, None, "saint"), (None, None, "no candidates"), (0, 1, "matched")]
     assert dict(pairs)["pairs"] <= 4  # not the 60,000 of records by candidates
+
+
+def test_records_of_one_name_and_tiers_are_one_ask(spark, monkeypatch):
+    rows = {}
+    monkeypatch.setattr(match, "with_keys", lambda df, name, f=match.with_keys: rows.update({name: rows.get(name, []) + [df.count()]}) or f(df, name))
+    asked = spark.createDataFrame([(k, f"Crkva sv. {'Roka' if k % 2 else 'Ane'}", [["sinj"], ["knin"] if k % 4 else None]) for k in range(400)], "rec_id bigint, name string, tiers array<array<string>>")
+    pool = spark.createDataFrame([(k, "Crkva sv. Ane", "Sinj", None, None) for k in range(2, 300)] + [(1, "Crkva sv. Roka", "Sinj", "Grad Sinj", None)], BUILDINGS)
+    found = match.best_match(asked, match.candidate_index(pool, ["city", "settlement"])).collect()
+    assert {(r.rec_id % 2, r.cand_id, r.reason) for r in found} == {(0, None, "ambiguous"), (1, 1, "matched")} and len(found) == 400
+    assert sorted(rows["name"]) == [2, 3]  # names and places of candidates, then asks; rows of records and buildings before
