@@ -160,6 +160,19 @@ def test_equal_records_and_candidates_are_judged_once(spark, monkeypatch):
     assert dict(pairs)["pairs"] <= 4  # not the 60,000 of records by candidates
 
 
+@pytest.fixture
+def counted(spark, monkeypatch):
+    """How many rows the place keys are worked out for."""
+    seen, fold = spark.sparkContext.accumulator(0), text.alnum_key
+
+    def keys(*parts):
+        tally = F.udf(lambda a: seen.add(1) or a, "array<string>").asNondeterministic()
+        return tally(F.array(*(fold(F.coalesce(p, F.lit(""))) for p in parts)))
+
+    monkeypatch.setattr(text, "place_keys", keys)
+    return seen
+
+
 def test_records_of_one_name_and_tiers_are_one_ask(spark, monkeypatch):
     rows = {}
     monkeypatch.setattr(match, "with_keys", lambda df, name, f=match.with_keys: rows.update({name: rows.get(name, []) + [df.count()]}) or f(df, name))
@@ -168,3 +181,11 @@ def test_records_of_one_name_and_tiers_are_one_ask(spark, monkeypatch):
     found = match.best_match(asked, match.candidate_index(pool, ["city", "settlement"])).collect()
     assert {(r.rec_id % 2, r.cand_id, r.reason) for r in found} == {(0, None, "ambiguous"), (1, 1, "matched")} and len(found) == 400
     assert sorted(rows["name"]) == [2, 3]  # names and places of candidates, then asks; rows of records and buildings before
+
+
+def test_places_are_folded_once_a_place(spark, counted):
+    pool = spark.createDataFrame([(k, "Crkva sv. Roka", None, f"S{k}", "M") for k in range(2)], BUILDINGS)
+    records = spark.createDataFrame([(k, "Crkva sv. Roka", f"S{k % 3}", "M") for k in range(300)], "id bigint, name string, settlement string, municipality string")
+    links, queue = linking.link_heritage(records, pool)
+    assert sorted((r.rec_id, r.cand_id) for r in links.collect()) == [(0, 0), (1, 1)] and queue.count() == 298
+    assert counted.value < 100  # each place a few times, as plans are run anew; 600 and more when each record's were

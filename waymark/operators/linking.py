@@ -15,7 +15,8 @@ OWNER_KINDS = ("zupa", "samostan", "svetiste", "parohija", "dzemat", "crkvena-op
 
 def link_heritage(heritage: DataFrame, buildings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links, queue left): records (id, name, settlement, municipality) matched in two tiers, each building once."""
-    asked = heritage.select(F.col("id").alias("rec_id"), "name", F.array(text.place_keys(F.col("settlement")), text.place_keys(F.col("municipality"))).alias("tiers"))
+    records = heritage.select(F.col("id").alias("rec_id"), "name", "settlement", "municipality")
+    asked = match.once(records, ["settlement", "municipality"], lambda places: places.withColumn("tiers", F.array(text.place_keys(F.col("settlement")), text.place_keys(F.col("municipality")))))
     links = match.exclusive(match.best_match(asked, match.candidate_index(buildings, ["city", "settlement", "municipality"])))
     return links, merge.without_consumed(heritage, links.select(F.col("rec_id").alias("id")), ["id"])
 
@@ -33,7 +34,7 @@ def link_parish_churches(parishes: DataFrame, buildings: DataFrame) -> DataFrame
     column kind, only kinds that may own a church take part.
     """
     parishes = parishes.where(F.col("kind").isin(*OWNER_KINDS)) if "kind" in parishes.columns else parishes
-    asked = parishes.select(F.col("id").alias("rec_id"), "name", F.array(text.place_keys(F.col("city"))).alias("tiers"))
+    asked = match.once(parishes.select(F.col("id").alias("rec_id"), "name", "city"), ["city"], lambda places: places.withColumn("tiers", F.array(text.place_keys(F.col("city")))))
     found = match.best_match(asked, match.candidate_index(buildings, ["city", "settlement", "municipality"])).where("cand_id is not null").select("rec_id", "cand_id", "score")
     seats = parishes.select(F.col("id").alias("rec_id"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
     places = buildings.select(F.col("id").alias("cand_id"), F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng"))
