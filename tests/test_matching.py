@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.functions import similarity, text
-from waymark.operators import linking, match, merge, numbering
+from waymark.operators import linking, match, merge, numbering, upkeep
 
 BUILDINGS = "id bigint, name string, city string, settlement string, municipality string"
 
@@ -189,3 +189,12 @@ def test_places_are_folded_once_a_place(spark, counted):
     links, queue = linking.link_heritage(records, pool)
     assert sorted((r.rec_id, r.cand_id) for r in links.collect()) == [(0, 0), (1, 1)] and queue.count() == 298
     assert counted.value < 100  # each place a few times, as plans are run anew; 600 and more when each record's were
+
+
+def test_ablation_lists_candidates_once(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(match, "written", lambda df, tag: tables.append(tag) or numbering.written(df, tag))
+    index = match.candidate_index(spark.createDataFrame(POOL, BUILDINGS), ["city"])
+    asked = spark.createDataFrame([(1, "Crkva sv. Marka", [["zagreb"]]), (2, "Crkva sv. Marka", [["hvar"], ["zagreb"]])], "rec_id bigint, name string, tiers array<array<string>>")
+    got = upkeep.ablation(asked, index, {"tiers": {}, "one block": {"tiered": False}, "strict": {"threshold": 101.0}}).collect()
+    assert {r.variant: r.links for r in got} == {"tiers": 2, "one block": 1, "strict": 2} and tables.count("candidates") == 1

@@ -90,10 +90,10 @@ def outside_named(persons: DataFrame, settlements: DataFrame, id_: str = "id", n
 
 def ablation(queries: DataFrame, index: DataFrame, variants: Mapping[str, Mapping[str, object]]) -> DataFrame:
     """(variant, links): how many records the matcher links under each variant's threshold, margin and tiered (false: all blocks at once)."""
-    out = None
+    out, pool = None, match.candidates(index)
     for name, v in variants.items():
         asked = queries if v.get("tiered", True) else queries.withColumn("tiers", F.array(F.array_distinct(F.flatten("tiers"))))
-        found = match.exclusive(match.best_match(asked, index, v.get("threshold", match.THRESHOLD), v.get("margin", match.MARGIN)))
+        found = match.exclusive(match.best_match(asked, pool, v.get("threshold", match.THRESHOLD), v.get("margin", match.MARGIN)))
         row = found.agg(F.count("*").alias("links")).select(F.lit(name).alias("variant"), "links")
         out = row if out is None else out.unionByName(row)
     return out
