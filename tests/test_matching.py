@@ -198,3 +198,12 @@ def test_ablation_lists_candidates_once(spark, monkeypatch):
     asked = spark.createDataFrame([(1, "Crkva sv. Marka", [["zagreb"]]), (2, "Crkva sv. Marka", [["hvar"], ["zagreb"]])], "rec_id bigint, name string, tiers array<array<string>>")
     got = upkeep.ablation(asked, index, {"tiers": {}, "one block": {"tiered": False}, "strict": {"threshold": 101.0}}).collect()
     assert {r.variant: r.links for r in got} == {"tiers": 2, "one block": 1, "strict": 2} and tables.count("candidates") == 1
+
+
+def test_pairs_are_met_once_at_their_least_place(spark):
+    pairs = match._pairs(
+        spark.createDataFrame([(1, "a", "t", "h", "k", 0, ["x", "y", "y"], p) for p in "xy"], "asked int, nkey string, tkey string, hkey string, kind string, tier int, keys array<string>, place string"),
+        spark.createDataFrame([(7, "b", "t", "h", "k", 1, 5, 5, ["w", "x", "y"]), (8, "c", "t", "", "k", 1, 6, 6, ["y"]), (9, "d", "t", "other", "k", 1, 6, 6, ["x"])], "class int, cand_nkey string, cand_tkey string, cand_hkey string, cand_kind string, n bigint, first int, last int, places array<string>"),
+    )
+    assert sorted(r["class"] for r in pairs.collect()) == [7, 8]
+    assert "Aggregate" not in pairs._jdf.queryExecution().optimizedPlan().toString()  # pairs themselves are not dealt out again

@@ -32,12 +32,14 @@ d as (select rec_id, cand_id, score, case when score < 82 then 'score' when next
 select rec_id, case when reason = 'matched' then cand_id end as cand_id, case when reason = 'matched' then round(score, 6) end as score, coalesce(reason, 'no candidates') as reason from q left join d using (rec_id)""")
 def near_matches(t: Tables) -> DataFrame:
     """Names that are alike but not equal: scores on both sides of the threshold, and seconds within the margin."""
-    kinds = F.array_sort(F.collect_set("p_type"))
+    kinds = t.part.agg(F.slice(F.array_sort(F.collect_set("p_type")), 1, 6).alias("kinds")).select(F.posexplode("kinds").alias("_kind", "_type"))
+    place = F.concat_ws(" ", F.concat(F.lit("Brand#"), F.col("_brand") + 1), F.col("_type"))
+    places = kinds.crossJoin(t.spark.range(25).toDF("_brand")).select("_brand", "_kind", F.array(text.place_keys(place)).alias("tiers"))  # 150 rows at most
     names = t.part.select(F.col("p_partkey").alias("_p"), F.col("p_name").alias("_name"))
     n = t.part.count()
-    asked = t.customer.select(F.col("c_custkey").alias("rec_id")).join(names, F.col("rec_id") * 7 % n == F.col("_p")).crossJoin(t.part.agg(kinds.alias("kinds")))  # one row
-    place = F.concat_ws(" ", F.concat(F.lit("Brand#"), F.col("rec_id") % 25 + 1), F.element_at("kinds", (F.col("rec_id") % 6 + 1).cast("int")))
-    queries = asked.select("rec_id", F.concat("_name", F.lit("ly")).alias("name"), F.array(text.place_keys(place)).alias("tiers"))
+    asked = t.customer.select(F.col("c_custkey").alias("rec_id")).join(names, F.col("rec_id") * 7 % n == F.col("_p"))
+    met = asked.join(F.broadcast(places), (F.col("rec_id") % 25 == F.col("_brand")) & (F.col("rec_id") % 6 == F.col("_kind")))
+    queries = met.select("rec_id", F.concat("_name", F.lit("ly")).alias("name"), "tiers")
     ends = F.element_at(F.array(*map(F.lit, ("", "s", " old", "ish"))), (F.col("p_partkey") % 4 + 1).cast("int"))
     pool = t.part.select(F.col("p_partkey").alias("id"), F.concat("p_name", ends).alias("name"), F.concat_ws(" ", "p_brand", "p_type").alias("city"))
     return match.best_match(queries, match.candidate_index(pool, ["city"])).select("rec_id", "cand_id", F.round("score", 6).alias("score"), "reason")
