@@ -1,4 +1,5 @@
 import json
+import time
 
 import numpy as np
 
@@ -91,3 +92,19 @@ def test_containment_with_large_shapes_and_dense_cells(spark, monkeypatch):
     got = {r.id: r.idx for r in spatial.contained(spark.createDataFrame(points, "id long, lat double, lng double"), shapes, "id").collect()}
     ring = [tuple(p) for p in comb[0]]
     assert got == {k: 1 for k, lat, lng in points if lat is not None and outlines._holds(ring, lng, lat)} | ({} if outlines._holds(ring, 0.6, 29.1) else {1000: 2})
+
+
+def squares(n, sizes):
+    return [[(x + a, y + a), (x + b, y + a), (x + b, y + b), (x + a, y + b)] for x in map(float, range(n)) for y in map(float, range(n)) for a, b in sizes]
+
+
+def test_rings_are_nested_without_trying_all_pairs(monkeypatch):
+    rings = squares(40, [(0.1, 0.9), (0.2, 0.8), (0.3, 0.7)])
+    began = time.process_time()
+    found = outlines.nested(rings)
+    assert time.process_time() - began < 20  # over five minutes when each ring was tried against each greater one
+    assert sorted(map(len, found)) == [1] * 1600 + [2] * 1600
+    assert all(max(p[0]) > max(p[1]) and min(p[0]) < min(p[1]) and max(p[0])[0] - max(p[1])[0] < 0.11 for p in found if len(p) == 2)
+    monkeypatch.setattr(outlines, "PAIRS", 50)
+    assert outlines.nested(rings[:300]) == [p for p in found if p[0] in rings[:300]]
+    assert outlines.nested([]) == [] and outlines.nested(rings[1:2]) == [[rings[1]]]

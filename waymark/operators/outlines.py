@@ -24,6 +24,8 @@ from .numbering import written
 LINE = "array<array<double>>"
 #: Times that the tolerance of arcs in conflict is halved; after them an arc keeps all its bends.
 HALVINGS = 6
+#: Pairs of sides and points that are looked at together when rings are nested.
+PAIRS = 1 << 22
 
 Point = tuple[float, float]
 
@@ -161,16 +163,58 @@ def _holds(ring: list[Point], x: float, y: float) -> bool:
     return bool((x < (qx[on] - px[on]) * (y - py[on]) / (qy[on] - py[on]) + px[on]).sum() % 2)
 
 
-def _inner(ring: list[Point]) -> Point:
-    """A point strictly inside: the middle of the widest span halfway between the two least heights."""
-    px, py = np.array(ring, float).T
-    heights = np.unique(py)
-    y = float(heights[0] + heights[1]) / 2
-    qx, qy = np.roll(px, -1), np.roll(py, -1)
-    on = (py > y) != (qy > y)
-    xs = np.sort((qx[on] - px[on]) * (y - py[on]) / (qy[on] - py[on]) + px[on])
-    k = int(np.argmax(xs[1::2] - xs[::2]))
-    return float(xs[2 * k] + xs[2 * k + 1]) / 2, y
+def _sides(rings: list[list[Point]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Both ends of the sides of all rings in a row, the ring of each side, and the first side of each ring."""
+    sizes = np.array([len(r) for r in rings])
+    start = np.array([p for r in rings for p in r], float)
+    first = np.cumsum(sizes) - sizes
+    onward = np.arange(len(start)) + 1
+    onward[first + sizes - 1] = first
+    return start, start[onward], np.repeat(np.arange(len(rings)), sizes), first
+
+
+def _inner(start: np.ndarray, end: np.ndarray, own: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A point strictly inside each ring: the middle of the widest span halfway between the two least heights."""
+    (px, py), (qx, qy) = start.T, end.T
+    low = np.minimum.reduceat(py, first)
+    y = (low + np.minimum.reduceat(np.where(py > low[own], py, np.inf), first)) / 2
+    on = (py > y[own]) != (qy > y[own])
+    ring = own[on]
+    xs = (qx[on] - px[on]) * (y[ring] - py[on]) / (qy[on] - py[on]) + px[on]
+    order = np.lexsort((xs, ring))
+    xs, ring = xs[order].reshape(-1, 2), ring[order][::2]
+    widest = np.lexsort((xs[:, 0] - xs[:, 1], ring))
+    ring, at = np.unique(ring[widest], return_index=True)
+    x = start[first, 0]
+    x[ring] = xs[widest[at]].sum(1) / 2
+    return np.stack([x, y], 1)
+
+
+def _around(rings: list[list[Point]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of rings, the greatest first: how many of those before it each lies in, and the last of them (or -1).
+
+    A ring lies where a point in it does. Points are sorted by height, so a side meets a run of them; only
+    these pairs are looked at, some millions at a time.
+    """
+    start, end, own, first = _sides(rings)
+    inner = _inner(start, end, own, first)
+    order = np.argsort(inner[:, 1], kind="stable")
+    (x, y), n = inner[order].T, len(rings)
+    (px, py), (qx, qy) = start.T, end.T
+    begin, stop = np.searchsorted(y, np.minimum(py, qy)), np.searchsorted(y, np.maximum(py, qy))
+    total = np.cumsum(stop - begin)
+    cuts = np.searchsorted(total, np.arange(0, total[-1], PAIRS)[1:])
+    odd = np.zeros(0, np.int64)
+    for sides in np.split(np.arange(len(start)), cuts):
+        met = (stop - begin)[sides]
+        k = np.repeat(sides, met)
+        at = np.arange(len(k)) - np.repeat(np.cumsum(met) - met, met) + begin[k]
+        passed = (own[k] < order[at]) & (x[at] < (qx[k] - px[k]) * (y[at] - py[k]) / (qy[k] - py[k]) + px[k])
+        pairs, times = np.unique(order[at[passed]] * n + own[k[passed]], return_counts=True)
+        odd = np.setxor1d(odd, pairs[times % 2 == 1], assume_unique=True)
+    last = np.full(n, -1)
+    np.maximum.at(last, odd // n, odd % n)
+    return np.bincount(odd // n, minlength=n), last
 
 
 def simple_rings(lines: list[list[Point]]) -> list[list[Point]]:
@@ -213,15 +257,15 @@ def simple_rings(lines: list[list[Point]]) -> list[list[Point]]:
 
 def nested(rings: list[list[Point]]) -> list[list[list[Point]]]:
     """Polygons (outer ring, holes) of rings that do not cross: a ring inside an odd number of others is a hole of the least one around it."""
-    order = sorted(range(len(rings)), key=lambda k: (-_area(rings[k]), rings[k]))
-    around: dict[int, list[int]] = {}
-    for n, k in enumerate(order):
-        x, y = _inner(rings[k])
-        around[k] = [j for j in order[:n] if _holds(rings[j], x, y)]
-    polygons = {k: [rings[k]] for k in order if len(around[k]) % 2 == 0}
-    for k in order:
-        if len(around[k]) % 2:
-            polygons[around[k][-1]].append(rings[k])
+    if not rings:
+        return []
+    areas = [_area(r) for r in rings]
+    rings = [rings[k] for k in sorted(range(len(rings)), key=lambda k: (-areas[k], rings[k]))]
+    depth, last = _around(rings)
+    polygons = {k: [ring] for k, ring in enumerate(rings) if depth[k] % 2 == 0}
+    for k, ring in enumerate(rings):
+        if depth[k] % 2:
+            polygons[int(last[k])].append(ring)
     return list(polygons.values())
 
 
