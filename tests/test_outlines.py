@@ -115,3 +115,22 @@ def test_small_outlines_are_dealt_to_several_tasks(spark):
     assert outlines._spread(tiles, "side").rdd.getNumPartitions() == 4
     out = territory.dissolve(tiles, "idx", "side")
     assert {r.side: (len(r.polygons), r.square_degrees) for r in out.collect()} == {"0": (2, 2.0), "1": (2, 2.0)}
+
+
+def test_bands_grow_with_the_sides_and_polygons_are_listed_by_themselves(spark, monkeypatch):
+    from waymark.operators import spatial
+
+    wave = [[0.0 if y % 2 else 1.0, float(y)] for y in range(4000)]
+    tower = [[*wave, [3.0, 3999.0], [3.0, 0.0]], [[2.0, 10.0], [2.5, 10.0], [2.5, 20.0], [2.0, 20.0]]]
+    shapes = spark.createDataFrame([(5, [tower, cell(7, 0)[0:1], cell(2.2, 12, 0.1)]), (6, [cell(2.0, 10.0, 0.5, 10.0)]), (7, [])], f"idx long, polygons {geo.POLYGONS}")
+    at = [(k, (k * 37 % 4100) + 0.3, (k * 91 % 800) / 100 + 0.003) for k in range(2000)] + [(9000, 15.0, 2.4), (9001, 12.5, 2.25), (9002, 0.5, 7.5), (9003, 15.0, 2.6)]
+    kept = {}
+    written = spatial.written
+    monkeypatch.setattr(spatial, "written", lambda df, tag: kept.setdefault(tag, written(df, tag)))
+    got = {r.id: r.idx for r in spatial.contained(spark.createDataFrame(at, "id long, lat double, lng double"), shapes, "id").collect()}
+    inside = lambda polygons, x, y: any(sum(outlines._holds([tuple(p) for p in ring], x, y) for ring in polygon) % 2 for polygon in polygons)
+    layers = [(r.idx, r.polygons) for r in shapes.collect()]
+    assert got == {k: min(hit) for k, y, x in at if (hit := [idx for idx, polygons in layers if inside(polygons, x, y)])}
+    assert (got[9000], got[9001], got[9002], got[9003]) == (6, 5, 5, 5)
+    boxes = {(r.idx, r.part): r for r in kept["boxes"].collect()}
+    assert sorted(boxes) == [(5, 0), (5, 1), (5, 2), (6, 0)] and boxes[5, 0]._bands > 200 and (boxes[5, 1]._w, boxes[5, 1]._e) == (7.0, 8.0)

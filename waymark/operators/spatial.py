@@ -11,6 +11,8 @@ from .numbering import written
 POLYGON_CELL, POINT_CELL = 0.1, 0.01
 #: Points that one key of a cell takes; a cell with more is split.
 DENSE = 20_000
+#: Sides that a band of a polygon's height has at least, if so many are there.
+BAND = 16
 #: Points in a cell of the first radius of a nearest search, and how often its radius is halved at most for that.
 FEW, HALVINGS = 16, 7
 
@@ -76,17 +78,21 @@ def nearest_within(left: DataFrame, right: DataFrame, left_id: str, right_id: st
 def contained(points: DataFrame, layer: DataFrame, point_id: str, feature: str = "idx", polygons: str = "polygons", cell: float = POLYGON_CELL) -> DataFrame:
     """(point_id, feature) of the first feature, by its number, that holds each point.
 
-    A feature is listed at the level of the grid whose cells are as wide as its bounding box (each level
-    doubles them), so it has four cells at most, however large it is; points ask the levels that occur.
-    Cells with many points are split by a count: their points are dealt to several keys, and the features
-    listed there are repeated for each. Points meet the features of their cell, then the box, and then only
-    those sides that pass their height: sides are listed by bands of their feature's height.
+    Each polygon of a feature is listed by itself, at the level of the grid whose cells are as wide as its
+    bounding box (each level doubles them), so it has four cells at most, however large it is; points ask
+    the levels that occur. Cells with many points are split by a count: their points are dealt to several
+    keys, and the polygons listed there are repeated for each. Points meet the polygons of their cell, then
+    the box, and then only those sides that pass their height: sides are listed by bands of their polygon's
+    height, about twice each, so a point tries BAND sides or twice as many as a level line meets on average.
     """
-    flat = F.flatten(F.flatten(polygons))
-    xs, ys = F.transform(flat, lambda p: p[0]), F.transform(flat, lambda p: p[1])
-    boxed = layer.select(feature, F.array_min(xs).alias("_w"), F.array_max(xs).alias("_e"), F.array_min(ys).alias("_s"), F.array_max(ys).alias("_n"), F.least(F.ceil(F.size(flat) / 16), F.lit(64)).alias("_bands")).where("_w is not null")
+    own = [feature, "part"]
+    sides = written(geo.edges(layer, feature, polygons), "sides")
+    edge = [lo(c).alias(n) for lo, c, n in ((F.min, "x1", "_w"), (F.max, "x1", "_e"), (F.min, "y1", "_s"), (F.max, "y1", "_n"))]
+    boxed = sides.groupBy(*own).agg(*edge, F.count("*").alias("_sides"), F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("_tall")).where("_w is not null")
+    passed = F.col("_tall") / F.nullif(F.col("_n") - F.col("_s"), F.lit(0.0))
     wide = F.greatest(F.col("_e") - F.col("_w"), F.col("_n") - F.col("_s"), F.lit(cell))
-    boxed = boxed.withColumn("_level", F.ceil(F.log2(wide / cell)).cast("int"))
+    bands = F.greatest(F.floor(F.col("_sides") / F.greatest(passed, F.lit(float(BAND)))), F.lit(1))
+    boxed = written(boxed.select(*own, "_w", "_e", "_s", "_n", F.ceil(F.log2(wide / cell)).cast("int").alias("_level"), bands.alias("_bands")), "boxes")
     levels = [r._level for r in boxed.select("_level").distinct().collect()]  # a dozen at most
     if not levels:
         return points.select(point_id, F.lit(None).cast(layer.schema[feature].dataType).alias(feature)).limit(0)
@@ -102,10 +108,10 @@ def contained(points: DataFrame, layer: DataFrame, point_id: str, feature: str =
     repeated = listed.join(dense, cells, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     met = split.join(repeated, [*cells, "_part"]).where("lng between _w and _e and lat between _s and _n")
     band = lambda y: F.least(F.floor((y - F.col("_s")) / F.nullif(F.col("_n") - F.col("_s"), F.lit(0.0)) * F.col("_bands")), F.col("_bands") - 1)
-    sides = geo.edges(layer, feature, polygons).where("y1 <> y2").join(boxed.select(feature, "_s", "_n", "_bands"), feature)
-    sides = sides.withColumn("_band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
-    listed_sides = sides.groupBy(feature, "_band", "part").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_sides"))
-    tried = met.withColumn("_band", band(F.col("lat"))).join(listed_sides, [feature, "_band"])
+    banded = sides.where("y1 <> y2").join(boxed.select(*own, "_s", "_n", "_bands"), own)
+    banded = banded.withColumn("_band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
+    listed_sides = banded.groupBy(*own, "_band").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_sides"))
+    tried = met.withColumn("_band", band(F.col("lat"))).join(listed_sides, [*own, "_band"])
     crossed = F.size(F.filter("_sides", lambda s: F.coalesce(geo.crosses(F.col("lng"), F.col("lat"), s["x1"], s["y1"], s["x2"], s["y2"]), F.lit(False))))
     return tried.where(crossed % 2 == 1).groupBy(point_id).agg(F.min(feature).alias(feature))
 
