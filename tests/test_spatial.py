@@ -166,3 +166,21 @@ def test_nearest_of_crowded_points_meets_few_of_them(spark, monkeypatch):
     for x in within(left, right, 90.0).where("id % 2 = r_id % 2").collect():
         assert even[x.id] <= (x.metres, x.r_id)
     assert even.keys() == want.keys()
+
+
+def test_k_nearest_of_crowded_points_meets_few_of_them(spark, monkeypatch):
+    r, met = random.Random(5), []
+    within = spatial.within
+    spots = [(45 + r.gauss(0, 0.1), 16 + r.gauss(0, 0.1)) for _ in range(300)] + [(45.9, 16.9), (48.0, 16.0), (45.4, 16.2)]
+    rows = [(k, *spots[k], "t") for k in range(len(spots))] + [(k, *spots[k % 7], "u") for k in range(400, 700)] + [(900, None, 16.0, "v"), (None, 45.0, 16.0, "w")]
+    points = spark.createDataFrame(rows, "id long, lat double, lng double, tag string")
+    want = {}
+    for x in within(points, points, 90.0).where("id <> r_id").collect():
+        want.setdefault(x.id, []).append((x.metres, x.r_id, x.r_tag))
+    want = {(id_, n): near for id_, all_ in want.items() for n, near in enumerate(sorted(all_)[:5], 1)}
+    assert len(want) > 2900 and (301, 1) not in want
+    monkeypatch.setattr(spatial, "within", lambda *a: met.append(within(*a)) or met[-1])
+    got = spatial.k_nearest(points, "id", 5, 90.0)
+    assert {(x.id, x.nth): (x.metres, x.r_id, x.r_tag) for x in got.collect()} == want and got.count() == len(want)
+    assert len(met) > 2 and sum(m.count() for m in met) < 30_000  # over 350,000 of all pairs within the whole radius
+    assert {"tag", "lat", "lng", "r_lat"} <= set(got.columns) and "_nth" not in got.columns

@@ -36,12 +36,12 @@ def within(left: DataFrame, right: DataFrame, radius_km: float, prefix: str = "r
     return met.withColumn("metres", geo.haversine_m(F.col("lat"), F.col("lng"), F.col(f"{prefix}lat"), F.col(f"{prefix}lng"))).where(F.col("metres") <= radius_km * 1000)
 
 
-def _reaches(pool: DataFrame, radius_km: float) -> list[float]:
-    """Radii that double up to the whole one; the first is the widest whose cells hold at most FEW points of the pool each."""
+def _reaches(pool: DataFrame, radius_km: float, few: int = FEW) -> list[float]:
+    """Radii that double up to the whole one; the first is the widest whose cells hold at most so few points of the pool each."""
     ladder = [radius_km / 2**k for k in range(HALVINGS + 1)]
     cells = F.array(*(F.struct(F.lit(k).alias("k"), geo.cell(F.col("lat"), F.col("lng"), geo.degrees_of(km)).alias("c")) for k, km in enumerate(ladder)))
     held = pool.select(F.explode(cells).alias("x")).groupBy("x.k", "x.c").agg(F.count("*").alias("n"))
-    crowded = held.groupBy("k").agg(F.max("n").alias("n")).where(F.col("n") > FEW).agg(F.max("k")).first()[0]
+    crowded = held.groupBy("k").agg(F.max("n").alias("n")).where(F.col("n") > few).agg(F.max("k")).first()[0]
     return ladder[: 1 if crowded is None else crowded + 2][::-1]
 
 
@@ -193,9 +193,28 @@ def concentric(asked: DataFrame, pool: DataFrame, id_: str, pool_id: str, circle
 
 
 def k_nearest(points: DataFrame, id_: str, k: int, radius_km: float) -> DataFrame:
-    """(id, r_id, metres, nth): the k nearest other points within the radius."""
-    met = within(points, points, radius_km).where(F.col(id_) != F.col(f"r_{id_}"))
-    return met.withColumn("nth", F.row_number().over(Window.partitionBy(id_).orderBy("metres", f"r_{id_}"))).where(F.col("nth") <= k)
+    """(id, r_id, metres, nth): the k nearest other points within the radius; ids are unique, ties go to the smaller one.
+
+    Points at one spot ask once, for one neighbour more than k, as one may be the point itself; so of a spot
+    only its k + 1 smallest ids are met. They ask first within a radius that fits where points lie densest;
+    spots that found too few ask again at twice the radius, up to the whole one.
+    """
+    spot = ["lat", "lng"]
+    first = lambda df, *by: df.withColumn("_nth", F.row_number().over(Window.partitionBy(*spot).orderBy(*by))).where(F.col("_nth") <= k + 1)
+    known = written(points.where(F.col(id_).isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull()), "points")
+    pool = written(first(known, id_).drop("_nth"), "pool")
+    rest, out = pool.select(*spot).distinct(), None
+    for km in _reaches(pool, radius_km, max(FEW, 3 * k)):
+        best = written(first(within(rest, pool, km), "metres", f"r_{id_}"), "nearest")
+        full = best.where(F.col("_nth") == k + 1).select(*spot)
+        ready = best.join(full, spot, "left_semi") if km < radius_km else best
+        out = ready if out is None else out.unionByName(ready)
+        if km < radius_km:
+            rest = written(rest.join(full, spot, "left_anti"), "rest")
+            if rest.isEmpty():
+                break
+    met = known.join(out, spot).where(F.col(id_) != F.col(f"r_{id_}"))
+    return met.withColumn("nth", F.row_number().over(Window.partitionBy(id_).orderBy("_nth"))).where(F.col("nth") <= k).drop("_nth")
 
 
 def verification(metres: Column, verified_m: float = 300.0, conflict_m: float = 750.0) -> Column:
