@@ -112,7 +112,7 @@ def test_rings_are_nested_without_trying_all_pairs(monkeypatch):
 
 def test_small_outlines_are_dealt_to_several_tasks(spark):
     tiles = layer(spark, [(str(x % 2), cell(x, 0)) for x in range(4)])
-    assert outlines._spread(tiles, "side").rdd.getNumPartitions() == 4
+    assert outlines.spread(tiles, "side").rdd.getNumPartitions() == 4
     out = territory.dissolve(tiles, "idx", "side")
     assert {r.side: (len(r.polygons), r.square_degrees) for r in out.collect()} == {"0": (2, 2.0), "1": (2, 2.0)}
 

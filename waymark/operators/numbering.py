@@ -28,6 +28,11 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """The rows dealt to as many tasks as shuffles have, however small they are: for work that is much more than its bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def numbered(df: DataFrame, order: Sequence[Column | str], groups: Sequence[str] = (), name: str = "place", start: int = 1) -> DataFrame:
     """The rows with a bigint place that counts from start in the order, anew in each group (columns of df, nulls being a group).
 

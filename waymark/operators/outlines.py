@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import geo
-from .numbering import written
+from .numbering import spread, written
 
 LINE = "array<array<double>>"
 #: Times that the tolerance of arcs in conflict is halved; after them an arc keeps all its bends.
@@ -30,11 +30,6 @@ PAIRS = 1 << 22
 Point = tuple[float, float]
 
 
-def _spread(rows: DataFrame, *by: str) -> DataFrame:
-    """The rows dealt to as many tasks as shuffles have, however small they are: what comes next is work, not bytes."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
-
-
 def _ends(a: str, b: str) -> tuple[Column, Column]:
     return (F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in (a, b))
 
@@ -121,7 +116,7 @@ def _segments(arcs: DataFrame) -> DataFrame:
 def conflicts(arcs: DataFrame, cell: float) -> DataFrame:
     """(arc) of lines that cross, touch or cover another or themselves elsewhere than at common ends; segments meet by cells of the plane."""
     span = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
-    listed = _spread(_segments(arcs).withColumn("cx", F.explode(span(F.col("x1"), F.col("x2")))).withColumn("cy", F.explode(span(F.col("y1"), F.col("y2")))), "cx", "cy")
+    listed = spread(_segments(arcs).withColumn("cx", F.explode(span(F.col("x1"), F.col("x2")))).withColumn("cy", F.explode(span(F.col("y1"), F.col("y2")))), "cx", "cy")
     other = listed.select("cx", "cy", *(F.col(c).alias(f"o_{c}") for c in ("arc", "k", "x1", "y1", "x2", "y2")))
     met = listed.join(other, ["cx", "cy"]).where("arc < o_arc or (arc = o_arc and k < o_k)")
     turn = lambda a, b, c: f"(({b[0]} - {a[0]}) * ({c[1]} - {a[1]}) - ({b[1]} - {a[1]}) * ({c[0]} - {a[0]}))"
@@ -146,7 +141,7 @@ def arcs(layer: DataFrame, key: str, group: str, tolerance: float, polygons: str
         full = [np.array(line, float) for line in found]
         return pd.DataFrame({"groups": [pdf["groups"].iloc[0]] * len(found), "full": [line.tolist() for line in full], "line": [thinned(line, tolerance).tolist() for line in full]})
 
-    followed = _spread(flat, "between").groupBy("between").applyInPandas(lines, f"groups array<string>, full {LINE}, line {LINE}")
+    followed = spread(flat, "between").groupBy("between").applyInPandas(lines, f"groups array<string>, full {LINE}, line {LINE}")
     now = written(followed.select(F.xxhash64("groups", "full").alias("arc"), "groups", "full", F.lit(float(tolerance)).alias("tolerance"), "line"), "arcs")
     for k in range(HALVINGS + 1):
         bad = written(conflicts(now, cell), "conflicts")
@@ -285,4 +280,4 @@ def outlines(layer: DataFrame, key: str, group: str, tolerance: float, polygons:
         found = nested(simple_rings(lines))
         return pd.DataFrame({group: [pdf[group].iloc[0]], "polygons": [[[[list(p) for p in ring] for ring in polygon] for polygon in found]]})
 
-    return written(_spread(own, group).groupBy(group).applyInPandas(shape, f"{group} string, polygons {geo.POLYGONS}"), "outlines")
+    return written(spread(own, group).groupBy(group).applyInPandas(shape, f"{group} string, polygons {geo.POLYGONS}"), "outlines")

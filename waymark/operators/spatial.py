@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from .numbering import written
+from .numbering import spread, written
 
 POLYGON_CELL, POINT_CELL = 0.1, 0.01
 #: Points that one key of a cell takes; a cell with more is split.
@@ -86,7 +86,7 @@ def contained(points: DataFrame, layer: DataFrame, point_id: str, feature: str =
     height, about twice each, so a point tries BAND sides or twice as many as a level line meets on average.
     """
     own = [feature, "part"]
-    sides = written(geo.edges(layer, feature, polygons), "sides")
+    sides = geo.edges(layer, feature, polygons)
     edge = [lo(c).alias(n) for lo, c, n in ((F.min, "x1", "_w"), (F.max, "x1", "_e"), (F.min, "y1", "_s"), (F.max, "y1", "_n"))]
     boxed = sides.groupBy(*own).agg(*edge, F.count("*").alias("_sides"), F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("_tall")).where("_w is not null")
     passed = F.col("_tall") / F.nullif(F.col("_n") - F.col("_s"), F.lit(0.0))
@@ -105,6 +105,7 @@ def contained(points: DataFrame, layer: DataFrame, point_id: str, feature: str =
     dense = asked.groupBy(*cells).count().where(F.col("count") > DENSE).select(*cells, F.ceil(F.col("count") / DENSE).cast("int").alias("_parts"))
     parts = F.coalesce("_parts", F.lit(1))
     split = asked.join(dense, cells, "left").withColumn("_part", F.pmod(F.xxhash64(point_id), parts).cast("int")).drop("_parts")
+    split = spread(split, *cells, "_part")
     repeated = listed.join(dense, cells, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     met = split.join(repeated, [*cells, "_part"]).where("lng between _w and _e and lat between _s and _n")
     band = lambda y: F.least(F.floor((y - F.col("_s")) / F.nullif(F.col("_n") - F.col("_s"), F.lit(0.0)) * F.col("_bands")), F.col("_bands") - 1)
@@ -202,8 +203,8 @@ def k_nearest(points: DataFrame, id_: str, k: int, radius_km: float) -> DataFram
     spot = ["lat", "lng"]
     first = lambda df, *by: df.withColumn("_nth", F.row_number().over(Window.partitionBy(*spot).orderBy(*by))).where(F.col("_nth") <= k + 1)
     known = written(points.where(F.col(id_).isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull()), "points")
-    pool = written(first(known, id_).drop("_nth"), "pool")
-    rest, out = pool.select(*spot).distinct(), None
+    pool = written(first(spread(known, *spot), id_).drop("_nth"), "pool")
+    rest, out = spread(pool.select(*spot), *spot).distinct(), None
     for km in _reaches(pool, radius_km, max(FEW, 3 * k)):
         best = written(first(within(rest, pool, km), "metres", f"r_{id_}"), "nearest")
         full = best.where(F.col("_nth") == k + 1).select(*spot)
